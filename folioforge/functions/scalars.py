@@ -53,8 +53,7 @@ def matching_title(value: Column | str) -> Column:
 
 def normalize_issn(value: Column | str) -> Column:
     """Eight characters, digits but for an X at the end, without the hyphen; null for anything else. No checksum."""
-    bare = F.upper(F.replace(strip(value), F.lit("-"), F.lit("")))
-    return F.when(bare.rlike("^[0-9]{7}[0-9X]$"), bare)
+    return or_null(F.regexp_extract(F.upper(F.replace(strip(value), F.lit("-"), F.lit(""))), "^[0-9]{7}[0-9X]$", 0))
 
 
 def split_multi_issn(value: Column | str) -> Column:
@@ -86,23 +85,25 @@ def split_publisher(value: Column | str) -> Column:
     )
 
 
-def _finite(value: Column) -> Column:
-    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+#: Digits are bounded so that what fits is finite as a double.
+_NUMBER = "^[+-]?(?:[0-9]{1,200}\\.?[0-9]{0,200}|\\.[0-9]{1,200})(?:[eE][+-]?[0-9]{1,2})?$"
+
+
+def _number(text: Column) -> Column:
+    return F.regexp_extract(text, _NUMBER, 0).try_cast("double")
 
 
 def parse_decimal_comma(value: Column | str) -> Column:
     """A double; one comma and no point is a decimal comma. Null for what is missing, not finite or no number."""
-    text = strip(_c(value).cast("string"))
-    commas = F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
-    fixed = F.when((commas == 1) & ~text.contains("."), F.replace(text, F.lit(","), F.lit("."))).otherwise(text)
-    return _finite(F.when(fixed.rlike("^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$"), fixed.try_cast("double")))
+    return _number(F.regexp_replace(strip(_c(value).cast("string")), "^([^,.]*),([^,.]*)$", "$1.$2"))
 
 
 def parse_int(value: Column | str) -> Column:
-    """A long from a whole number, also one written like 2003.0; null for the rest. Booleans are 0 and 1."""
+    """A long from a whole number, also one written like 2003.0 or 1e3; null for the rest. Booleans are 0 and 1."""
     text = strip(_c(value).cast("string"))
-    number = _finite(F.when(text.isin("true", "false"), (text == "true").cast("double")).when(text.rlike("^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double")))
-    return F.when(number == F.floor(number), number.try_cast("long"))
+    number = _number(text)
+    plain = F.regexp_extract(text, "^([+-]?[0-9]{1,18})(?:\\.0*)?$", 1).try_cast("long")
+    return F.coalesce(plain, F.when(number == F.floor(number), number.try_cast("long")), F.when(text.isin("true", "false"), (text == "true").cast("long")))
 
 
 def parse_year(value: Column | str) -> Column:

@@ -18,13 +18,19 @@ def raw_columns(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if not c.startswith("_")]
 
 
-def _cell(rows: DataFrame, *names: str) -> Column:
-    return S.first_non_empty(names, rows.columns)
+_KEPT = ("_file", "_row_number", "raw_json")
 
 
-def _common(rows: DataFrame) -> list[Column]:
-    raw = raw_columns(rows)
-    return [F.col("_file"), F.col("_row_number"), S.row_json(raw).alias("raw_json"), S.row_hash(raw).alias("source_row_hash")]
+def _cells(rows: DataFrame, cells: dict[str, tuple[str, ...]], **more: Column) -> DataFrame:
+    """The row's file, number and JSON, and each cell under a name of its own: cleaned, the first that isn't empty.
+
+    Later steps take cells from these columns, so no cleaning is done twice.
+    """
+    return rows.select("_file", "_row_number", S.row_json(raw_columns(rows)).alias("raw_json"), *[S.first_non_empty(names, rows.columns).alias(f"c_{c}") for c, names in cells.items()], *[x.alias(c) for c, x in more.items()])
+
+
+def _kept() -> list[Column]:
+    return [*map(F.col, _KEPT), F.sha2(F.col("raw_json").cast("binary"), 256).alias("source_row_hash")]
 
 
 def problems(checks: dict[str, Column]) -> Column:
@@ -44,19 +50,21 @@ def transform_scimago(rows: DataFrame) -> DataFrame:
     name = delimited.parse_file_name(F.col("_file"))
     years = {c: int(m[1]) for c in rows.columns if (m := re.match(r"^Total Docs\. \((\d{4})\)$", c))}
     total = F.coalesce(*[F.when(name["year"] == y, F.col(f"`{c}`")) for c, y in years.items()], F.lit(None).cast("string"))
-    text, number = lambda *n: S.or_null(S.clean_whitespace(_cell(rows, *n))), lambda *n: _int(_cell(rows, *n))
-    decimal = lambda n, kind: S.parse_decimal_comma(_cell(rows, n)).cast(kind)
-    sjr = S.parse_decimal_comma(_cell(rows, "SJR"))
-    quartile_raw = S.or_null(S.strip(F.upper(_cell(rows, "SJR Best Quartile"))))
-    out = rows.select(
-        *_common(rows), name["year"].alias("year"), name["subject_area"].alias("subject_area"), number("Rank").alias("rank"), text("Sourceid").alias("sourceid"), S.or_null(S.normalize_title(_cell(rows, "Title"))).alias("title"), text("Type").alias("type"),
-        text("Issn").alias("issn_raw"), S.split_multi_issn(_cell(rows, "Issn")).alias("issn_list"), text("Publisher").alias("publisher_raw"), S.yes(_cell(rows, "Open Access")).alias("open_access"), S.yes(_cell(rows, "Open Access Diamond")).alias("open_access_diamond"),
-        sjr.alias("sjr_value"), sjr.try_cast("decimal(10,3)").alias("sjr"), S.quartile(_cell(rows, "SJR Best Quartile")).alias("sjr_best_quartile"), quartile_raw.alias("quartile_raw"), number("H index").alias("h_index"), _int(total).alias("total_docs"),
-        number("Total Docs. (3years)").alias("total_docs_3years"), number("Total Refs.", "Total Refs").alias("total_refs"), number("Total Citations (3years)", "Total Cites (3years)").alias("total_citations_3years"), number("Citable Docs. (3years)").alias("citable_docs_3years"),
-        decimal("Citations / Doc. (2years)", "decimal(10,3)").alias("citations_per_doc_2years"), decimal("Ref. / Doc.", "decimal(10,3)").alias("refs_per_doc"), decimal("%Female", "decimal(6,3)").alias("female_percentage"), number("Overton").alias("overton"),
-        text("Country").alias("country"), text("Region").alias("region"), text("Coverage").alias("coverage"), S.parse_categories(_cell(rows, "Categories")).alias("categories"), S.parse_areas(_cell(rows, "Areas")).alias("areas"),
+    named = {
+        "rank": "Rank", "sourceid": "Sourceid", "title": "Title", "type": "Type", "issn_raw": "Issn", "publisher_raw": "Publisher", "open_access": "Open Access", "open_access_diamond": "Open Access Diamond", "sjr": "SJR", "sjr_best_quartile": "SJR Best Quartile", "h_index": "H index",
+        "total_docs_3years": "Total Docs. (3years)", "total_refs": "Total Refs.|Total Refs", "total_citations_3years": "Total Citations (3years)|Total Cites (3years)", "citable_docs_3years": "Citable Docs. (3years)", "citations_per_doc_2years": "Citations / Doc. (2years)",
+        "refs_per_doc": "Ref. / Doc.", "female_percentage": "%Female", "overton": "Overton", "country": "Country", "region": "Region", "coverage": "Coverage", "categories": "Categories", "areas": "Areas",
+    }
+    cells = _cells(rows, {k: tuple(v.split("|")) for k, v in named.items()}, year=name["year"], subject_area=name["subject_area"], c_total_docs=total)
+    text = ("sourceid", "title", "type", "issn_raw", "publisher_raw", "country", "region", "coverage")
+    whole = ("rank", "h_index", "total_docs", "total_docs_3years", "total_refs", "total_citations_3years", "citable_docs_3years", "overton")
+    decimals = {"citations_per_doc_2years": "decimal(10,3)", "refs_per_doc": "decimal(10,3)", "female_percentage": "decimal(6,3)"}
+    out = cells.select(
+        *_kept(), "year", "subject_area", *[F.col(f"c_{c}").alias(c) for c in text], *[_int(F.col(f"c_{c}")).alias(c) for c in whole], *[S.parse_decimal_comma(f"c_{c}").try_cast(kind).alias(c) for c, kind in decimals.items()],
+        S.split_multi_issn("c_issn_raw").alias("issn_list"), S.yes("c_open_access").alias("open_access"), S.yes("c_open_access_diamond").alias("open_access_diamond"), S.parse_decimal_comma("c_sjr").alias("sjr_value"), S.quartile("c_sjr_best_quartile").alias("sjr_best_quartile"),
+        S.parse_categories("c_categories").alias("categories"), S.parse_areas("c_areas").alias("areas"),
     )
-    return out.withColumn("sjr_out_of_range", F.col("sjr_value").isNotNull() & ~S.in_range("sjr_value", 0, 100))
+    return out.withColumns({"sjr": F.col("sjr_value").try_cast("decimal(10,3)"), "sjr_out_of_range": F.col("sjr_value").isNotNull() & ~S.in_range("sjr_value", 0, 100)})
 
 
 def validate_scimago(records: DataFrame) -> DataFrame:
@@ -78,10 +86,10 @@ def transform_abdc(rows: DataFrame, sheet: str) -> DataFrame:
         raise ValueError(f"unknown sheet {sheet!r}")
     year, scheme, rating = workbook.SHEETS[sheet]
     column = workbook.find_column(raw_columns(rows), rating)
-    return rows.select(
-        *_common(rows), F.lit(year).alias("rating_year"), S.or_null(S.normalize_title(_cell(rows, *workbook.TITLE_NAMES))).alias("journal_name"), _cell(rows, "Publisher").alias("publisher"), S.normalize_issn(_cell(rows, "ISSN")).alias("issn"),
-        S.normalize_issn(_cell(rows, "ISSN Online", "ISSNOnline")).alias("issn_online"), S.parse_year(_cell(rows, "Year Inception", "Start year")).alias("year_inception"), _cell(rows, "FoR", "ABDC FoR code", "Field of Research").alias("for_code"),
-        F.lit(scheme).alias("for_scheme"), S.abdc_rating(F.col(f"`{column}`")).alias("rating"),
+    cells = _cells(rows, {"name": workbook.TITLE_NAMES, "publisher": ("Publisher",), "issn": ("ISSN",), "issn_online": ("ISSN Online", "ISSNOnline"), "inception": ("Year Inception", "Start year"), "for_code": ("FoR", "ABDC FoR code", "Field of Research"), "rating": (column,)})
+    return cells.select(
+        *_kept(), F.lit(year).alias("rating_year"), F.col("c_name").alias("journal_name"), F.col("c_publisher").alias("publisher"), S.normalize_issn("c_issn").alias("issn"), S.normalize_issn("c_issn_online").alias("issn_online"),
+        S.parse_year("c_inception").alias("year_inception"), F.col("c_for_code").alias("for_code"), F.lit(scheme).alias("for_scheme"), S.abdc_rating("c_rating").alias("rating"),
     )
 
 
@@ -109,7 +117,8 @@ def unpivot_abs(rows: DataFrame) -> DataFrame:
     ratings = [c for c in rows.columns if _AJG.match(c)]
     if not ratings:
         raise ValueError("there is no AJG rating column")
-    base = rows.select(*_common(rows), S.or_null(S.normalize_title(_cell(rows, "TITLE"))).alias("journal_name"), _cell(rows, "FIELD").alias("field"), S.normalize_issn(_cell(rows, "ISSN")).alias("issn"), _cell(rows, "PUBLISHER").alias("publisher"), *[F.col(c).cast("string") for c in ratings])
+    cells = _cells(rows, {"name": ("TITLE",), "field": ("FIELD",), "issn": ("ISSN",), "publisher": ("PUBLISHER",)}, **{c: F.col(c).cast("string") for c in ratings})
+    base = cells.select(*_kept(), F.col("c_name").alias("journal_name"), F.col("c_field").alias("field"), S.normalize_issn("c_issn").alias("issn"), F.col("c_publisher").alias("publisher"), *ratings)
     fixed = [c for c in base.columns if c not in ratings]
     long = base.unpivot(fixed, ratings, "rating_column", "rating").withColumn("rating", S.or_null(S.clean_whitespace("rating")))
     return long.where("rating is not null").withColumn("rating_year", F.regexp_extract("rating_column", "([0-9]{4})$", 1).cast("int")).drop("rating_column")
@@ -131,14 +140,14 @@ def validate_abs(records: DataFrame) -> DataFrame:
 
 def transform_repec(rows: DataFrame) -> DataFrame:
     """A number that can't be read is null and makes the row invalid; it doesn't stop the file."""
-    name = S.split_publisher(_cell(rows, "journals"))
-    out = rows.select(
-        *_common(rows), F.lit(None).cast("date").alias("source_snapshot_date"), _int(_cell(rows, "rank")).alias("rank"), S.or_null(S.normalize_title(_cell(rows, "journals"))).alias("journal_name_raw"),
-        name["name"].alias("clean"), name["publisher"].alias("publisher_from_name"), name["confidence"].alias("publisher_split_confidence"), _int(_cell(rows, "items_listed")).alias("items_listed"), _int(_cell(rows, "h_index")).alias("h_index"),
-        *[S.parse_decimal_comma(_cell(rows, c)).try_cast("decimal(10,3)").alias(c) for c in REPEC_DECIMALS],
-        F.exists(F.array(*[_cell(rows, c).isNotNull() & S.parse_decimal_comma(_cell(rows, c)).isNull() for c in REPEC_DECIMALS]), lambda bad: bad).alias("bad_number"),
+    cells = _cells(rows, {"rank": ("rank",), "name": ("journals",), "items": ("items_listed",), "h": ("h_index",)} | {c: (c,) for c in REPEC_DECIMALS})
+    parsed = cells.select(
+        *_kept(), F.lit(None).cast("date").alias("source_snapshot_date"), _int(F.col("c_rank")).alias("rank"), F.col("c_name").alias("journal_name_raw"), S.split_publisher("c_name").alias("split"), _int(F.col("c_items")).alias("items_listed"), _int(F.col("c_h")).alias("h_index"),
+        *[S.parse_decimal_comma(f"c_{c}").try_cast("decimal(10,3)").alias(c) for c in REPEC_DECIMALS], F.array(*[F.col(f"c_{c}").isNotNull() for c in REPEC_DECIMALS]).alias("given"),
     )
-    return out.withColumn("journal_name_clean", S.or_null("clean")).drop("clean")
+    found = F.array(*[F.col(c).isNotNull() for c in REPEC_DECIMALS])
+    names = {"journal_name_clean": S.or_null("split.name"), "publisher_from_name": F.col("split.publisher"), "publisher_split_confidence": F.col("split.confidence"), "bad_number": F.col("given") != found}
+    return parsed.withColumns(names).drop("split", "given")
 
 
 REPEC_DECIMALS = ("score", "simple_if", "recursive_if", "discounted_if", "recursive_discounted_if", "euclid")
@@ -162,7 +171,8 @@ def validate_repec(records: DataFrame) -> DataFrame:
 
 def transform_ft50(rows: DataFrame) -> DataFrame:
     delimited.require_columns(rows, delimited.FT50_COLUMNS)
-    return rows.select(*_common(rows), S.parse_year(_cell(rows, "ft50_year")).alias("ft50_year"), _int(_cell(rows, "rank")).alias("rank"), S.or_null(S.normalize_title(_cell(rows, "journal_name"))).alias("journal_name"), F.lit(True).alias("included"))
+    cells = _cells(rows, {"year": ("ft50_year",), "rank": ("rank",), "name": ("journal_name",)})
+    return cells.select(*_kept(), S.parse_year("c_year").alias("ft50_year"), _int(F.col("c_rank")).alias("rank"), F.col("c_name").alias("journal_name"), F.lit(True).alias("included"))
 
 
 def validate_ft50(records: DataFrame) -> DataFrame:
