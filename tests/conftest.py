@@ -17,6 +17,10 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxPlanStringLength", "10000")
+        .config("spark.sql.ui.retainedExecutions", "5")
+        .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4")
+        .config("spark.default.parallelism", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
