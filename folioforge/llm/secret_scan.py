@@ -25,7 +25,7 @@ DICTIONARY = "the|and|tion|ing|ent|ion|her|for|tha|ter|ate|all|ith|ver|ous|ment|
 CANDIDATE = (
     r"(?:AKIA|ASIA)[0-9A-Z]{16}\b|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
     r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
-    r"|[=:](?<=(?i:token|secret|password|passwd|pwd|key|auth)[\"']?\s{0,2}[=:])\s{0,2}[\"']?[^\s\"'=:<>(){},;]{6,}"
+    r"|[=:](?<=(?i:token|secret|password|passwd|pwd|key|auth)[\"']?\s{0,2}[=:])\s{0,2}[\"']?[^\s\"'=:<>(){},;|&]{6,}"
 )
 ASSIGNS = r"^[=:]\s{0,2}[\"']?"
 REDACTED = "[REDACTED]"
