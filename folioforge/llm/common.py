@@ -43,7 +43,7 @@ def durable(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if not shared:
-            if not context.master.startswith("local["):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="folioforge-checkpoint-")
         context.setCheckpointDir(shared)

@@ -109,6 +109,23 @@ SELECT doc_id, domain, lang, source, n_tokens, epoch FROM (
   SELECT *, whole::BIGINT AS epoch FROM summed WHERE upto <= budget - whole * supply)"""
 
 
+def _license_sql() -> str:
+    """Words as lists; phrases compared in a row at every place, notices with the words of every block."""
+    listed = lambda phrase: "[" + ", ".join(f"'{w}'" for w in phrase.split()) + "]"
+    size, stride = 2 * license_scan.STRIDE, license_scan.STRIDE
+    starts = ", ".join(f"list_filter(range(1, len(ws) - {len(p.split()) - 2}), lambda i: ws[i] = '{p.split()[0]}' AND ws[i:i + {len(p.split()) - 1}] = {listed(p)}) AS s{k}" for k, (p, _) in enumerate(license_scan.BASE_PHRASES))
+    held = ", ".join(f"coalesce(list_max(list_transform(range(0, len(ws), {stride}), lambda b: len(list_intersect(list_distinct(ws[b + 1:b + {size}]), {listed(p)})))), 0) / {len(set(p.split()))}.0::DOUBLE AS h{k}" for k, (p, _, _) in enumerate(license_scan.NOTICES))
+    base = ", ".join(f"CASE WHEN len(s{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(license_scan.BASE_PHRASES))
+    more = ", ".join(f"CASE WHEN h{k} >= {share} - 1e-9 THEN '{label}' END" for k, (_, label, share) in enumerate(license_scan.NOTICES))
+    scores = ", ".join([*(f"CASE WHEN len(s{k}) > 0 THEN 1.0 ELSE 0 END" for k in range(len(license_scan.BASE_PHRASES))), *(f"CASE WHEN h{k} >= {share} - 1e-9 THEN h{k} ELSE 0 END" for k, (_, _, share) in enumerate(license_scan.NOTICES))])
+    all_ = "flatten([" + ", ".join(f"s{k}" for k in range(len(license_scan.BASE_PHRASES))) + "])"
+    joined = lambda labels: f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{labels}], lambda x: x IS NOT NULL))), ','), '')"
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+f AS (SELECT doc_id, len(ws) AS n, {starts}, {held} FROM w)
+SELECT doc_id, n::BIGINT AS n_words, len({all_})::BIGINT AS n_base, list_min({all_})::BIGINT - 1 AS first_word, list_max({all_})::BIGINT - 1 AS last_word, {joined(base)} AS base_labels, {joined(base + ', ' + more)} AS labels, greatest({scores})::DOUBLE AS score FROM f"""
+
+
 def _url_sql() -> str:
     quoted = lambda s: s.replace("'", "''")
     values = ", ".join(f"('{v}', '{quoted(h)}', '{quoted(p)}')" for v, h, p in url_filter.BASE_RULES)
@@ -126,4 +143,4 @@ SELECT page_id, host, path, rule, coalesce(v, CASE WHEN {own} THEN 'block' ELSE
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": _mixing_sql(), "op9_url_filter": _url_sql()}
+    return {"op1_license_scan": _license_sql(), "op2_mixing": _mixing_sql(), "op9_url_filter": _url_sql()}

@@ -289,7 +289,7 @@ def test_queries_are_registered():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", ["op2_mixing", "op9_url_filter"])
+@pytest.mark.parametrize("name", ["op1_license_scan", "op2_mixing", "op9_url_filter"])
 def test_queries_match_sql(spark, name):
     import os
 
