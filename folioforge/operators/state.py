@@ -7,6 +7,7 @@ manifest, so a change is seen whole or not at all. One writer at a time, as in t
 from __future__ import annotations
 
 import json
+import tempfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,17 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder; one is made only for a local session that has none."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="folioforge-"))
+    return df.checkpoint()
+
+
 def next_ids(df: DataFrame, order: Iterable[Column | str], base: int | Column = 0, name: str = "id") -> DataFrame:
     """Numbers 1.. after base in a fixed order, without bringing all rows to one task.
 
@@ -23,7 +35,7 @@ def next_ids(df: DataFrame, order: Iterable[Column | str], base: int | Column =
     order = list(order)
     n = max(1, df.sparkSession.sparkContext.defaultParallelism)
     dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
-    dealt = dealt.persist()  # the range of a row has to be the same in both uses
+    dealt = durable(dealt)  # the range of a row has to be the same in both uses, even if an executor is lost between them
     counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
