@@ -15,7 +15,7 @@ from .common import durable
 OVERHEAD = 16
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 500, max_ranges: int = 10_000) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 2000, max_ranges: int = 5000) -> DataFrame:
     """One row a document: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null), global_offset.
 
     size is the text's bytes in UTF-8 (none for a null text) plus OVERHEAD. Shards are contiguous in the order of
