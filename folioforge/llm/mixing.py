@@ -6,7 +6,7 @@ together can't take goes to the siblings of their parent. Each leaf then takes a
 order, anew for each epoch, as long as the prefix's tokens stay within the budget.
 
 Levels are shared out by windows over one row a node; a prefix is a threshold on the seeded order, found from totals
-of the order's buckets and the rows of one bucket a leaf. No leaf meets in one task, and no text is shuffled.
+of the order's buckets (256 a leaf), of the parts of one bucket, and the rows of one part. No leaf meets in one task, and no text is shuffled.
 """
 
 from __future__ import annotations
@@ -96,7 +96,7 @@ def leaf_budgets(leaves: DataFrame, total: int, epochs: int, weights: tuple[Mapp
     return budgets.select(*_LEVELS, F.col("budget").cast("long").alias("budget"), (F.col("capacity") / epochs).cast("long").alias("supply"))
 
 
-def select_prefixes(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", bucket_digits: int = 3):
+def select_prefixes(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", bucket_digits: int = 2):
     """(narrow rows, leaf table): what mix() and keep_mixed() apply. budget_share is the budget as a part of all tokens."""
     text, source = F.col(f"`{text_col}`").cast("string"), F.col(f"`{source_col}`").cast("string")
     rows = durable(docs.select(keyed(id_col, text_col).alias("key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), domain_of(source).alias("domain"), F.col(f"`{lang_col}`").cast("string").alias("lang"), source.alias("source"), count_tokens(text).alias("n_tokens")))
@@ -115,12 +115,15 @@ def select_prefixes(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epo
         return df.join(F.broadcast(table) if small else table, "leaf")
 
     placed = with_leaf(rows.withColumn("leaf", F.struct(*_LEVELS)), budgets).withColumn("place", seeded(seed, F.col("full"), F.col("key")))
-    bucket = F.substring("place", 1, bucket_digits)
-    sums = placed.groupBy("leaf", "rest", bucket.alias("bucket")).agg(F.sum("n_tokens").alias("n"))
-    running = F.sum("n").over(Window.partitionBy("leaf").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # The first bucket that doesn't fit whole, at most one a leaf.
-    edge = durable(sums.withColumn("upto", running).where("upto > rest").groupBy("leaf").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("edge")).select("leaf", "edge.bucket", "edge.before"))
-    inside = with_leaf(placed, edge).where(bucket == F.col("bucket"))
+    # The first bucket of the order that doesn't fit whole, at most one a leaf; then the first such part of that bucket.
+    edge = None
+    for digits in range(bucket_digits, 2 * bucket_digits + 1, bucket_digits):
+        open_ = placed.withColumn("before", F.lit(0).cast("long")) if edge is None else with_leaf(placed, edge).where(F.substring("place", 1, digits - bucket_digits) == F.col("bucket"))
+        sums = open_.groupBy("leaf", "rest", "before", F.substring("place", 1, digits).alias("part")).agg(F.sum("n_tokens").alias("n"))
+        running = F.sum("n").over(Window.partitionBy("leaf").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        over = sums.withColumn("upto", F.col("before") + running).where("upto > rest")
+        edge = durable(over.groupBy("leaf").agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("before"))).alias("edge")).select("leaf", F.col("edge.part").alias("bucket"), "edge.before"))
+    inside = with_leaf(placed, edge).where(F.substring("place", 1, 2 * bucket_digits) == F.col("bucket"))
     within = Window.partitionBy("leaf").orderBy("place")  # rows of the same place are taken or left together
     cut = inside.withColumn("upto", F.col("before") + F.sum("n_tokens").over(within)).where("upto <= rest").groupBy("leaf").agg(F.max("place").alias("last_place"))
     table = budgets.join(edge, "leaf", "left").join(cut, "leaf", "left").select("leaf", "full", F.when(F.col("bucket").isNull(), F.lit("g")).otherwise(F.coalesce("last_place", "bucket")).alias("last_place"))
