@@ -29,7 +29,7 @@ from .common import map_arrow
 
 #: Below it, lower case, white space and letters are the same in Python and in the library, and NFC changes nothing.
 PLAIN_END = 0x250
-CACHE = 200_000
+CACHE = 100_000
 
 
 def byte_symbols() -> str:
