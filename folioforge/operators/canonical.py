@@ -18,6 +18,13 @@ def representative(records: DataFrame, key: str = "sourceid", year: str = "year"
     return records.withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("_place = 1").drop("_place")
 
 
+def first_source_ids(records: DataFrame, n: int) -> DataFrame:
+    """The records of the first n source ids in text order, to try a seed on a part; what it returns is not to be published."""
+    if n < 1:
+        raise ValueError("n has to be positive")
+    return records.join(records.select("sourceid").distinct().orderBy("sourceid").limit(n), "sourceid", "left_semi")
+
+
 def title_variants(records: DataFrame, chosen: DataFrame, key: str = "sourceid", title: str = "title") -> DataFrame:
     """(key, variants): the sorted other titles of each key, white space cleaned; chosen has the representative as `shown`."""
     sets = records.groupBy(key).agg(F.collect_set(S.normalize_title(title)).alias("_titles"))
