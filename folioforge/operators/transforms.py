@@ -50,6 +50,7 @@ def transform_scimago(rows: DataFrame) -> DataFrame:
     name = delimited.parse_file_name(F.col("_file"))
     years = {c: int(m[1]) for c in rows.columns if (m := re.match(r"^Total Docs\. \((\d{4})\)$", c))}
     total = F.coalesce(*[F.when(name["year"] == y, F.col(f"`{c}`")) for c, y in years.items()], F.lit(None).cast("string"))
+    # The source's column names by record column.
     named = {
         "rank": "Rank", "sourceid": "Sourceid", "title": "Title", "type": "Type", "issn_raw": "Issn", "publisher_raw": "Publisher", "open_access": "Open Access", "open_access_diamond": "Open Access Diamond", "sjr": "SJR", "sjr_best_quartile": "SJR Best Quartile", "h_index": "H index",
         "total_docs_3years": "Total Docs. (3years)", "total_refs": "Total Refs.|Total Refs", "total_citations_3years": "Total Citations (3years)|Total Cites (3years)", "citable_docs_3years": "Citable Docs. (3years)", "citations_per_doc_2years": "Citations / Doc. (2years)",

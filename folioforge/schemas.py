@@ -26,6 +26,7 @@ class Table:
 SOURCES = ((1, "SCIMAGO", "SCImago Journal Rank"), (2, "ABDC", "ABDC Journal Quality List"), (3, "ABS", "Academic Journal Guide (ABS/AJG)"), (4, "REPEC", "RePEc Aggregate Rankings"), (5, "FT50", "Financial Times 50"))
 SOURCE_IDS = {code: k for k, code, _ in SOURCES}
 RECORD_TABLES = {"SCIMAGO": "scimago_records", "ABDC": "abdc_records", "ABS": "abs_records", "REPEC": "repec_records", "FT50": "ft50_records"}
+# The domains of ratings, statuses and decisions.
 QUARTILES, ABDC_RATINGS, ABS_RATINGS = ("Q1", "Q2", "Q3", "Q4"), ("A*", "A", "B", "C"), ("1", "2", "3", "4", "4*")
 REVIEW_STATUSES = ("pending", "accepted", "rejected")
 DECISIONS = ("accepted", "manually_confirmed", "rejected_no_match", "new_journal")
@@ -37,6 +38,7 @@ _HASHED = f"{_RECORD}, source_row_hash string"
 _REFERENCE = "source_id int, source_record_table string, source_record_id long"
 _REFERENCE_KEY = ("source_id", "source_record_table", "source_record_id")
 
+# The tables with their columns, keys and value domains, in the order of their dependence.
 TABLES: dict[str, Table] = {
     "sources": Table("id int, code string, display_name string", (("id",), ("code",))),
     "datasets": Table("id long, source_id int, dataset_year int, subject_area string, file_name string, file_hash string, imported_at timestamp, record_count long, status string", (("id",), ("file_hash",)), {"status": DATASET_STATUSES}, {"subject_area": 150, "file_name": 255}),

@@ -42,14 +42,14 @@ def one_by_one(records, journals, identifiers, first_new):
     return out
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(3))
 def test_rounds_equal_the_sequence(spark, seed):
     rng = random.Random(seed)
     base = ["journal of market research", "journal of market researches", "journal of public market", "review of law", "reviews of law", "economic letters and notes in theory"]
     keys = base + [b + x for b in base for x in ("", "s", " ii")]
     journals = [(k, rng.choice(keys)) for k in range(1, 5)]
     identifiers = [(1, "A"), (2, "B")]
-    records = [(k, rng.choice(keys), rng.sample("ABCDEF", rng.choice([0, 0, 1, 1, 2]))) for k in rng.sample(range(10, 60), 14)]
+    records = [(k, rng.choice(keys), rng.sample("ABCDEF", rng.choice([0, 0, 1, 1, 2]))) for k in rng.sample(range(10, 60), 12)]
     df = spark.createDataFrame(records, "id long, key string, issns array<string>")
     dim = spark.createDataFrame(journals, "id long, normalized_title string")
     ids = spark.createDataFrame([(j, "ISSN", v) for j, v in identifiers], "journal_id long, identifier_type string, normalized_value string")
