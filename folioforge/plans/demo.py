@@ -151,11 +151,11 @@ def filename_parse(spark, sf_dir):
     return _t(spark, sf_dir, "supplier").select("s_suppkey", found["year"].alias("year"), found["subject_area"].alias("subject_area"))
 
 
-@_query("SELECT o_orderkey, list_sort(list_distinct([o_custkey, o_orderkey])) AS ids FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, [o_custkey] FROM orders WHERE o_orderkey % 2 = 1")
+@_query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 OR o_custkey = o_orderkey THEN o_custkey::VARCHAR ELSE least(o_custkey, o_orderkey) || ',' || greatest(o_custkey, o_orderkey) END AS ids FROM orders")
 def conflict_ids(spark, sf_dir):
     listed = F.when(F.col("o_orderkey") % 2 == 0, F.concat_ws(";", "o_custkey", "o_orderkey", "o_custkey"))
     message = F.concat(F.lit("identifier X already belongs to journal "), "o_custkey")
-    return _t(spark, sf_dir, "orders").select("o_orderkey", S.journal_ids_of(listed, message).alias("ids"))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", F.array_join(S.journal_ids_of(listed, message).cast("array<string>"), ",").alias("ids"))
 
 
 @_query("SELECT c_custkey, coalesce(CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END, CASE WHEN c_nationkey % 3 = 0 THEN c_name END) AS first_value FROM customer")
@@ -355,11 +355,12 @@ def id_lookup(spark, sf_dir):
     return resolve.by_identifier(records, dim)[0]
 
 
-@_query("SELECT v AS identifier, journal_ids FROM (SELECT p_brand || '/' || p_size AS v, list_sort(list(p_partkey)) AS journal_ids, count(*) AS n FROM part WHERE p_partkey % 5 = 0 GROUP BY 1) WHERE n > 1")
+@_query("SELECT v AS identifier, journal_ids FROM (SELECT p_brand || '/' || p_size AS v, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS journal_ids, count(*) AS n FROM part WHERE p_partkey % 5 = 0 GROUP BY 1) WHERE n > 1")
 def id_conflicts(spark, sf_dir):
     parts = _t(spark, sf_dir, "part")
     dim = parts.where("p_partkey % 5 = 0").select(F.concat_ws("/", "p_brand", "p_size").alias("normalized_value"), F.col("p_partkey").alias("journal_id"))
-    return resolve.by_identifier(parts.select(F.col("p_partkey").alias("id"), F.array(F.concat_ws("/", "p_brand", "p_size")).alias("issns")), dim)[1]
+    found = resolve.by_identifier(parts.select(F.col("p_partkey").alias("id"), F.array(F.concat_ws("/", "p_brand", "p_size")).alias("issns")), dim)[1]
+    return found.select("identifier", F.array_join(F.col("journal_ids").cast("array<string>"), ",").alias("journal_ids"))
 
 
 #: Titles of parts, and length of the longest common subsequence of pairs (a, b) by rows of the table kept as lists.
@@ -470,3 +471,62 @@ def resolve_ladder(spark, sf_dir):
     identifiers = journals.select(F.col("id").alias("journal_id"), F.lit("ISSN").alias("identifier_type"), F.concat(F.lit("s"), "id").alias("normalized_value"))
     records = parts.select(F.col("p_partkey").alias("id"), F.col("title").alias("key"), F.when(F.col("p_partkey") % 11 == 0, F.array(F.concat(F.lit("s"), F.col("p_partkey") % 97))).otherwise(F.array().cast("array<string>")).alias("issns"))
     return resolve.resolve_records(records, journals, identifiers, 1_000_000_000).outcomes
+
+
+# --- canonical seed and review ------------------------------------------------------------------------------------------
+
+
+def _seeded(spark, sf_dir):
+    """Parts as yearly records of their brand, seeded into a canonical dimension."""
+    from .. import schemas
+    from ..operators import canonical
+
+    parts = _t(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_brand").alias("sourceid"), (F.col("p_size") + 1990).alias("year"), F.col("p_type").alias("subject_area"), F.col("p_name").alias("title"),
+        F.concat(F.lpad((F.col("p_partkey") % 600).cast("string"), 4, "0"), F.lit("-0000, bad")).alias("issn_raw"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("House "), "p_type")).alias("publisher_raw"),
+    )
+    return canonical.seed(schemas.conform(parts, "scimago_records"))
+
+
+@_query(
+    "WITH r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey % 2, lower(p_type), p_type, p_partkey) AS n, min(p_size) OVER (PARTITION BY p_brand) AS first FROM part) "
+    "SELECT row_number() OVER (ORDER BY p_brand) AS id, p_name AS canonical_title, CASE WHEN p_partkey % 2 = 0 THEN 'House ' || p_type END AS publisher, (first + 1990)::INT AS first_observed_year FROM r WHERE n = 1"
+)
+def canonical_journals(spark, sf_dir):
+    return _seeded(spark, sf_dir)["journals"].select("id", "canonical_title", "publisher", "first_observed_year")
+
+
+@_query(
+    "WITH ids AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) AS id FROM (SELECT DISTINCT p_brand FROM part)), "
+    "owners AS (SELECT lpad((p_partkey % 600)::VARCHAR, 4, '0') || '0000' AS v, min(p_brand) AS p_brand FROM part GROUP BY 1) "
+    "SELECT id AS journal_id, 'ISSN' AS identifier_type, v AS normalized_value FROM owners JOIN ids USING (p_brand) UNION ALL SELECT id, 'SCIMAGO_SOURCE_ID', p_brand FROM ids"
+)
+def canonical_identifiers(spark, sf_dir):
+    return _seeded(spark, sf_dir)["journal_identifiers"].select("journal_id", "identifier_type", "normalized_value")
+
+
+_DECISION = "CASE l_returnflag WHEN 'A' THEN 'accepted' WHEN 'N' THEN 'rejected_no_match' ELSE 'new_journal' END"
+
+
+@_query(
+    f"SELECT l_partkey AS source_record_id, count(DISTINCT {_DECISION})::BIGINT AS decisions, count(DISTINCT l_suppkey)::BIGINT AS candidates, bool_or(l_returnflag = 'A') AS accepts FROM lineitem GROUP BY 1 HAVING count(DISTINCT {_DECISION}) > 1 OR (bool_or(l_returnflag = 'A') AND count(DISTINCT l_suppkey) <> 1)"
+)
+def review_conflicts(spark, sf_dir):
+    from ..operators import review
+
+    decided = _t(spark, sf_dir, "lineitem").select(F.lit("ABDC").alias("source"), F.col("l_partkey").alias("source_record_id"), F.col("l_suppkey").alias("candidate_id"), F.expr(_DECISION).alias("csv_decision"))
+    return review.group_conflicts(decided).select("source_record_id", "decisions", "candidates", "accepts")
+
+
+@_query(
+    "SELECT event_id AS candidate_id, array_to_string(list_filter([CASE WHEN event_id = 0 THEN 'invalid_candidate_id' END, CASE WHEN user_id % 7 = 0 THEN 'invalid_source' END, CASE WHEN user_id = 0 THEN 'invalid_source_record_id' END, CASE WHEN event_type NOT IN ('click', 'view') THEN 'invalid_decision' END], lambda x: x IS NOT NULL), ',') AS problems FROM events WHERE event_type <> 'error'"
+)
+def review_rows(spark, sf_dir):
+    from ..operators import review
+
+    decision = F.when(F.col("event_type") == "click", " Accepted").when(F.col("event_type") == "view", "NEW_JOURNAL").when(F.col("event_type") == "error", "  ").otherwise(F.col("event_type"))
+    rows = _t(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("candidate_id"), F.when(F.col("user_id") % 7 == 0, "SCIMAGO").otherwise("abs ").alias("source"), F.concat("user_id", F.lit(".0")).alias("source_record_id"), F.lit("5").alias("candidate_journal_id"), decision.alias("decision"), "event_id"
+    )
+    checked = review.check_rows(rows)
+    return checked.select(F.col("event_id").alias("candidate_id"), F.array_join("problems", ",").alias("problems"))
