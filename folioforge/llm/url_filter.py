@@ -1,12 +1,15 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
-Every rule names the literal tokens that stand whole in any url it matches. Token frequencies over all urls decide
-under which of them a rule is filed, the rarest. A url's tokens fetch the rules filed under them, and only those run
-their regular expression. Rules, and so the index and the counts that come to the driver, are bounded by max_rules.
+Every rule names sets of literal tokens, one set for each of its alternatives: in any url it matches, all tokens of one
+of the sets stand whole. Token frequencies over all urls decide under which token of each set a rule is filed, the
+rarest. A url's tokens fetch the rules filed under them, and only those run their regular expression, with the rules of
+which no token is certain to stand whole, which run on every url. Rules, and so the index and the counts that come to
+the driver, are bounded by max_rules.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -25,13 +28,13 @@ BASE_RULES = (
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )
-# Patterns of the method's own, each with the literal tokens that it needs.
+# Patterns of the method's own, each with the literal tokens that each of its alternatives needs; none if there are no such tokens.
 PATTERNS = (
-    ("block", r"(?:^|[./-])cheap-pills[./]", ("cheap", "pills")),
-    ("block", r"(?:^|[./-])spam-farm[./]", ("spam", "farm")),
-    ("block", r"^(?:[^/]*\.)?casino[^/]*/", ("casino",)),
-    ("block", r"/(?:ads|adserver|doubleclick)/", ("ads",)),
-    ("block", r"[./-]porn[./-]", ("porn",)),
+    ("block", r"(?:^|[./-])cheap-pills[./]", (("cheap", "pills"),)),
+    ("block", r"(?:^|[./-])spam-farm[./]", (("spam", "farm"),)),
+    ("block", r"^(?:[^/]*\.)?casino[^/]*/", ()),
+    ("block", r"/(?:ads|adserver|doubleclick)/", (("ads",), ("adserver",), ("doubleclick",))),
+    ("block", r"[./-]porn[./-]", (("porn",),)),
 )
 _TOKEN = re.compile(r"[^a-z0-9]+")
 _HOST_END, _PATH_END = re.compile(r"[/?#]"), re.compile(r"[?#]")
@@ -53,16 +56,16 @@ def host_and_path(url: str | None) -> tuple[str, str]:
 class Rule:
     verdict: str
     pattern: re.Pattern  # on host + path
-    tokens: tuple[str, ...]
+    tokens: tuple[tuple[str, ...], ...]  # a set for each alternative; with none, the rule runs on every url
     name: str | None  # of a base rule: its host and path
 
 
 def rules(base=BASE_RULES, patterns=PATTERNS, max_rules: int = 100_000) -> list[Rule]:
-    """A base rule fits its host and all subdomains if the path starts with the rule's path."""
-    out = [Rule(v, re.compile(rf"\A(?:[^/?#]*\.)?{re.escape(host)}{re.escape(path)}", re.S), _whole_tokens(host, path), host + path) for v, host, path in base]
-    out += [Rule(v, re.compile(p), tuple(tokens), None) for v, p, tokens in patterns]
-    if len(out) > max_rules or any(not r.tokens for r in out):
-        raise ValueError(f"at most {max_rules} rules, each with a literal token")
+    """A base rule fits its host and all subdomains if the path starts with the rule's path; it needs a literal token."""
+    out = [Rule(v, re.compile(rf"\A(?:[^/?#]*\.)?{re.escape(host)}{re.escape(path)}", re.S), (_whole_tokens(host, path),), host + path) for v, host, path in base]
+    out += [Rule(v, re.compile(p), tuple(map(tuple, sets)), None) for v, p, sets in patterns]
+    if len(out) > max_rules or any(not tokens for r in out for tokens in r.tokens):
+        raise ValueError(f"at most {max_rules} rules, each with a literal token in every set")
     return out
 
 
@@ -92,12 +95,14 @@ def token_counts(pages: DataFrame, wanted: set[str], url_col: str = "url") -> di
 class Index:
     def __init__(self, items: list[Rule], counts: dict[str, int]):
         self.filed: dict[str, list[Rule]] = {}
+        self.always = [rule for rule in items if not rule.tokens]
         for rule in items:
-            self.filed.setdefault(min(rule.tokens, key=lambda t: (counts.get(t, 0), t)), []).append(rule)
+            for token in {min(tokens, key=lambda t: (counts.get(t, 0), t)) for tokens in rule.tokens}:
+                self.filed.setdefault(token, []).append(rule)
 
     def judge(self, host: str, path: str) -> tuple[str | None, str]:
         """The longest base rule that fits, null if none, and its verdict; else the verdict of a pattern; else allow."""
-        fits = [r for t in tokens_of(host, path) for r in self.filed.get(t, ()) if r.pattern.search(host + path)]
+        fits = [r for r in itertools.chain(self.always, *(self.filed.get(t, ()) for t in tokens_of(host, path))) if r.pattern.search(host + path)]
         named = max((r for r in fits if r.name), key=lambda r: (len(r.name), r.name), default=None)
         if named:
             return named.name, named.verdict
@@ -111,7 +116,7 @@ def judge_urls(pages: DataFrame, items: list[Rule] | None = None, id_col: str =
     row. Other columns are not read.
     """
     items = rules() if items is None else items
-    index = Index(items, token_counts(pages, {t for r in items for t in r.tokens}, url_col))
+    index = Index(items, token_counts(pages, {t for r in items for tokens in r.tokens for t in tokens}, url_col))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [(h, p, *index.judge(h, p)) for h, p in map(host_and_path, batch.column(1).to_pylist())]

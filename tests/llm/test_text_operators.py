@@ -265,6 +265,15 @@ def test_url_filter(spark, rows):
     assert rows(url_filter.judge_urls(df.limit(0))) == []
 
 
+def test_url_filter_fits_every_alternative(spark, rows):
+    blocked = ["x.org/a/ads/b", "x.org/a/adserver/b", "x.org/doubleclick/", "casino777.net/", "www.casinoroyale.org/x", "casino-win.org/", "CASINO9.com/y", "cheap-pills.net/", "a.org/spam-farm/", "x.org/porn-y"]
+    allowed = ["x.org/a/adserver", "x.org/adservers/", "mycasino777.net/", "casino777.net", "x.org/casino777/", "x.org/Doubleclick/"]
+    table = [(k, f"http://{u}") for k, u in enumerate(blocked + allowed)]
+    found = {r["page_id"]: r for r in rows(url_filter.judge_urls(spark.createDataFrame(table, "page_id long, url string")))}
+    for k, url in table:
+        assert found[k]["verdict"] == ("block" if k < len(blocked) else "allow") == plain_url(url)[3], url
+
+
 def test_rules_need_a_token():
     with pytest.raises(ValueError):
         url_filter.rules(base=[("block", "", "/x")])
