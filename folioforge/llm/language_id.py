@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ FAMILIES = {
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 DIMENSIONS = 4096
 UNDETERMINED = "und"
+#: A text may have this share of the margin that ordinary documents have; and how many of them it takes to know theirs.
+LOOSENESS, LEAST_CALIBRATION = 0.5, 25
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII but letters to a space; other bytes stay.
 _LETTERS = np.array([c if c >= 128 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
@@ -91,23 +93,50 @@ class OneVersusOne:
         pairs = list(itertools.combinations(range(len(classes)), 2))
         return cls(classes, pairs, np.array([train_svm(samples[classes[a]], samples[classes[b]]) for a, b in pairs], np.float32).reshape(len(pairs), DIMENSIONS + 1))
 
-    def predict(self, x: np.ndarray) -> tuple[str, float]:
-        """The class, and 0.5 to 1 from the margin against the nearest other class; 1 if there is none."""
+    def decide(self, x: np.ndarray) -> tuple[str, float]:
+        """The class, and its margin against the nearest other class: negative where that one beats it, infinite if there is none."""
         if not self.pairs:
-            return self.classes[0], 1.0
+            return self.classes[0], np.inf
         margins, votes, sums, least = self.weights @ x, [0] * len(self.classes), [0.0] * len(self.classes), [np.inf] * len(self.classes)
         for (a, b), m in zip(self.pairs, margins.tolist(), strict=True):
             votes[a if m >= 0 else b] += 1
             sums[a], sums[b] = sums[a] + m, sums[b] - m
             least[a], least[b] = min(least[a], m), min(least[b], -m)
         best = max(range(len(self.classes)), key=lambda k: (votes[k], sums[k], -k))
-        return self.classes[best], float(1 / (1 + np.exp(-3.0 * max(least[best], 0.0))))
+        return self.classes[best], least[best]
+
+    def predict(self, x: np.ndarray) -> tuple[str, float]:
+        """The class, and 0.5 to 1 from its margin; 1 if there is no other class."""
+        found, margin = self.decide(x)
+        return found, _score(margin)
+
+
+def _score(margin: float) -> float:
+    return float(1 / (1 + np.exp(-3.0 * max(margin, 0.0))))
 
 
 @dataclass
 class Model:
     family: OneVersusOne | None
     within: dict[str, OneVersusOne]
+    least_margin: float = -np.inf  # below it, a text is in no language that was learned
+
+    @classmethod
+    def of(cls, samples: dict[str, np.ndarray]) -> Model:
+        """Machines of both levels, from features by language."""
+        families: dict[str, dict[str, np.ndarray]] = {}
+        for lang, x in samples.items():
+            families.setdefault(family_of(lang), {})[lang] = x
+        return cls(OneVersusOne.train({f: np.concatenate(list(x.values())) for f, x in families.items()}), {f: OneVersusOne.train(x) for f, x in families.items()})
+
+    def margin(self, x: np.ndarray) -> float:
+        """The lesser of the margins at both levels, of a text's features."""
+        family, margin = self.family.decide(x)
+        return min(margin, self.within[family].decide(x)[1])
+
+    def identifies(self, text: str | None) -> bool:
+        """Whether a text has a letter and a margin of least_margin or more; the former alone if nothing was learned."""
+        return has_letter(text) and (self.family is None or self.margin(features(text)) >= self.least_margin)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """A learned language and a score from 0 to 1; `und` and 0 for a text that is null or has no letter, or if nothing was learned."""
@@ -119,6 +148,21 @@ class Model:
         return language, p * q
 
 
+def least_margin(samples: dict[str, np.ndarray]) -> float:
+    """LOOSENESS times the margin that all but one in a hundred documents have, of those kept from machines trained on the others.
+
+    Every fourth document is kept from them. Minus infinity, so that nothing is rejected, if these are fewer than
+    LEAST_CALIBRATION, or if only one language is known, which leaves nothing to have a margin against.
+    """
+    apart = {lang: (x[np.arange(len(x)) % 4 != 3], x[3::4]) for lang, x in samples.items()}
+    if sum(len(tried) for _, tried in apart.values()) < LEAST_CALIBRATION:
+        return -np.inf
+    model = Model.of({lang: learned for lang, (learned, _) in apart.items()})
+    margins = sorted(model.margin(x) for _, tried in apart.values() for x in tried)
+    found = margins[len(margins) // 100]
+    return float(min(found, found * LOOSENESS)) if np.isfinite(found) else -np.inf
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a document is kept from training: crc32 of the id as text leaves 1 when divided by 3; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % 3 == 1
@@ -129,6 +173,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     Of each language about per_language documents, and no more, are drawn by a hash of the id: the one bound on
     training. Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`.
+    The model's least_margin is fitted on the same sample.
     """
     labelled = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
@@ -148,10 +193,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     samples = {lang: np.array([np.frombuffer(r.x, np.float16) for r in list(group)[:per_language]], np.float32) for lang, group in itertools.groupby(rows, key=lambda r: r.lang)}
     if not samples:
         return Model(None, {})
-    families: dict[str, dict[str, np.ndarray]] = {}
-    for lang, x in samples.items():
-        families.setdefault(family_of(lang), {})[lang] = x
-    return Model(OneVersusOne.train({f: np.concatenate(list(x.values())) for f, x in families.items()}), {f: OneVersusOne.train(x) for f, x in families.items()})
+    model = Model.of(samples)
+    model.least_margin = least_margin(samples)
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,16 +208,18 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return map_arrow(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(f"`{text_col}`").cast("string").alias("text")), run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.25) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", min_margin: float | None = None) -> DataFrame:
     """The rows of docs, all columns as they are, whose language is identified.
 
-    Rejected are texts that are null or have no letter, and scores below min_score, which is what a tie at both levels
-    has, so no text that a language was found for is lost. With a model that has learned nothing, only the former go.
+    Rejected are texts that are null or have no letter, and those with a margin below min_margin, by default the model's
+    own, at one of the levels: they are like no language that was learned. With a model that has learned nothing, or a
+    single language, or from too few documents to fit a margin, only the former go.
     """
+    if min_margin is not None:
+        model = replace(model, least_margin=min_margin)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-        keep = [has_letter(t) and (model.family is None or model.predict(t)[1] >= min_score) for t in texts]
-        return batch.filter(pa.array(keep, pa.bool_()))
+        return batch.filter(pa.array([model.identifies(t) for t in texts], pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)

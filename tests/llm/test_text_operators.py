@@ -230,6 +230,16 @@ def test_language_edges(docs, rows):
     assert kept.columns == df.columns and sorted(r["doc_id"] or 0 for r in rows(kept)) == [0, 1, 3, 3]
 
 
+def test_texts_in_no_learned_language_go(docs, rows):
+    table = language_rows(400)
+    strange = ["это текст на языке которого никто не учил " * 6, "这是没有学过的语言的一段文字 " * 12, "xqzj kvwq zzxk bbgp jjmx fkvw pvvk gxqz " * 8, "yksikään näistä sanoista kuulu mukaan " * 6]
+    df = docs(table + [(1000 + k, t, None, "s") for k, t in enumerate(strange)])
+    model = language_id.train(df)
+    kept = {r["doc_id"] for r in rows(language_id.keep_identified(df, model))}
+    assert model.least_margin > 0 and kept.isdisjoint(range(1000, 1000 + len(strange))) and len(kept) >= 0.99 * len(table)
+    assert len(rows(language_id.keep_identified(df, model, min_margin=-np.inf))) == len(table) + len(strange)
+
+
 def test_one_versus_one():
     rng = np.random.default_rng(0)
     make = lambda k: np.concatenate([np.eye(language_id.DIMENSIONS + 1, dtype=np.float32)[[k]] + rng.normal(0, 0.05, (1, language_id.DIMENSIONS + 1)).astype(np.float32) * 0.1 for _ in range(30)])
