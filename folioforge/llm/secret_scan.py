@@ -73,7 +73,9 @@ def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
     """Findings with a label, made by rule from hashes of row numbers: value, before, after, path, label.
 
     Even numbers are live: provider keys, and hex, base64 and mixed strings given to a key word. Odd ones are not:
-    hashes and ids named as such, long numbers, dictionary words with a number, placeholders, and hex in prose.
+    hashes and ids named as such, long numbers, dictionary words with a number, placeholders, hex in prose, and dummy keys,
+    which are live ones but for their path. Dummy keys and half of the others that aren't live have a path of tests or
+    examples; of the live ones one in forty has.
     """
     pick = (F.col("id") / 2).cast("long")
     hexed = F.sha2(F.concat(F.lit("v"), F.col("id")).cast("binary"), 256)
@@ -94,18 +96,23 @@ def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         .when(pick % 5 == 3, mixed)
         .otherwise(F.concat(F.lit("ghp_"), F.substring(F.translate(mixed, "+/", "aZ"), 1, 38)))
     )
+    kind = F.least(pick % 8, F.lit(6))
     dead = (
-        F.when(pick % 6 == 0, F.substring(hexed, 1, 40))
-        .when(pick % 6 == 1, hexed)
-        .when(pick % 6 == 2, F.substring(number, 1, 16))
-        .when(pick % 6 == 3, F.concat(one_of("w", "the_station_", "interesting-and-", "example/sample/", "undermentioned", "your_password_", "comment-", "chapter/"), F.substring(number, 1, 3), F.lit("_version")))
-        .when(pick % 6 == 4, F.concat_ws("-", F.substring(hexed, 1, 8), F.substring(hexed, 9, 4), F.substring(hexed, 13, 4), F.substring(hexed, 17, 4), F.substring(hexed, 21, 12)))
+        F.when(kind == 0, F.substring(hexed, 1, 40))
+        .when(kind == 1, hexed)
+        .when(kind == 2, F.substring(number, 1, 16))
+        .when(kind == 3, F.concat(one_of("w", "the_station_", "interesting-and-", "example/sample/", "undermentioned", "your_password_", "comment-", "chapter/"), F.substring(number, 1, 3), F.lit("_version")))
+        .when(kind == 4, F.concat_ws("-", F.substring(hexed, 1, 8), F.substring(hexed, 9, 4), F.substring(hexed, 13, 4), F.substring(hexed, 17, 4), F.substring(hexed, 21, 12)))
+        .when(kind == 6, F.element_at(F.array(F.substring(hexed, 1, 40), F.substring(hexed, 1, 16), mixed), (F.pmod(F.xxhash64(F.lit("y"), F.col("id")), F.lit(3)) + 1).cast("int")))
         .otherwise(one_of("d", "changeme", "your_password_here", "example_value", "placeholder123", "none_needed", "test_user_name"))
     )
     even = F.col("id") % 2 == 0
     known = even & (pick % 5).isin(0, 4)
-    before = F.when(known, F.when(F.col("id") % 3 == 0, prose).otherwise(keyed)).when(even, keyed).when(pick % 6 == 5, keyed).otherwise(plain)
-    path = F.concat(one_of("r", "src", "src/app/", "lib/", "docs/", "conf/"), F.pmod(F.xxhash64("id"), F.lit(40)).cast("string"))
+    before = F.when(known, F.when(F.col("id") % 3 == 0, prose).otherwise(keyed)).when(even, keyed).when(kind >= 5, keyed).otherwise(plain)
+    share = F.pmod(F.xxhash64(F.lit("s"), F.col("id")), F.lit(40))
+    tried = F.when(even, share == 0).otherwise((kind == 6) | (share < 20))
+    folder = F.when(tried, one_of("t", "tests/", "src/test/", "examples/", "fixtures/", "samples/", "mocks/", "demo/")).otherwise(one_of("r", "src", "src/app/", "lib/", "docs/", "conf/"))
+    path = F.concat(folder, F.pmod(F.xxhash64("id"), F.lit(40)).cast("string"))
     return spark.range(rows).select(F.when(even, live).otherwise(dead).alias("value"), before.alias("before"), close.alias("after"), path.alias("path"), even.cast("double").alias("label"))
 
 
