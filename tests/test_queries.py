@@ -38,3 +38,8 @@ def test_entry(spark):
 
     assert entry.entry(spark).columns == ["c_custkey", "c_name", "current_price", "current_priority", "in_events"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_ladder_looks_up_whole_tables(spark):
+    found = [r.journal_id for r in demo.resolve_ladder(spark, FOLDER).select("journal_id").collect() if r.journal_id < 1_000_000_000]
+    assert {j % 6 for j in found} == set(range(6))
