@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow
@@ -168,19 +168,18 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500) -> Model:
-    """Learn from text and lang of the documents that aren't held out.
+def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500) -> DataFrame | None:
+    """lang, draw and x, features as half floats, of at most per_language documents a language; None if nothing is labelled.
 
-    Of each language about per_language documents, and no more, are drawn by a hash of the id: the one bound on
-    training. Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`.
-    The model's least_margin is fitted on the same sample.
+    Documents are drawn by a hash of id and text, so that rows without an id, or with a common one, are drawn like others.
+    The executors cut to per_language, after rows that repeat another are left out.
     """
     labelled = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
-        return Model(None, {})
+        return None
     out_of = 1 << 30
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(out_of))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(out_of))
     limits = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(out_of, round(out_of * 1.1 * per_language / n)))])
     sample = labelled.where(draw < limits[F.col("lang")]).select("lang", draw.alias("draw"), "text")
 
@@ -189,8 +188,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         keep = [k for k, t in enumerate(texts) if has_letter(t)]
         return pa.RecordBatch.from_arrays([pa.array([lang[k] for k in keep], pa.string()), pa.array([draws[k] for k in keep], pa.int64()), pa.array([features(texts[k]).astype(np.float16).tobytes() for k in keep], pa.binary())], ["lang", "draw", "x"])
 
-    rows = sorted(map_arrow(sample, run, "lang string, draw long, x binary").collect(), key=lambda r: (r.lang, r.draw, bytes(r.x)))
-    samples = {lang: np.array([np.frombuffer(r.x, np.float16) for r in list(group)[:per_language]], np.float32) for lang, group in itertools.groupby(rows, key=lambda r: r.lang)}
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "x"))
+    return map_arrow(sample, run, "lang string, draw long, x binary").distinct().withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500) -> Model:
+    """Learn from text and lang of the documents that aren't held out.
+
+    Of each language about per_language documents, and no more, are drawn by training_sample(): the one bound on
+    training. Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`.
+    The model's least_margin is fitted on the same sample.
+    """
+    drawn = training_sample(docs, id_col, text_col, lang_col, per_language)
+    if drawn is None:
+        return Model(None, {})
+    rows = sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, bytes(r.x)))
+    samples = {lang: np.array([np.frombuffer(r.x, np.float16) for r in group], np.float32) for lang, group in itertools.groupby(rows, key=lambda r: r.lang)}
     if not samples:
         return Model(None, {})
     model = Model.of(samples)

@@ -220,6 +220,15 @@ def test_language_id_learns_from_open_documents_only(docs):
     assert np.array_equal(a.family.weights, b.family.weights) and all(np.array_equal(a.within[f].weights, b.within[f].weights) for f in a.within)
 
 
+def test_rows_without_an_id_are_drawn_like_others(docs):
+    table = language_rows(400)
+    df = docs(table + [(None, t + f" {t[:9]}", lang, "s") for _, t, lang, _ in table] + [(None, *table[0][1:])] * 300)
+    drawn = language_id.training_sample(df, per_language=20).toPandas()
+    known = {language_id.features(t).astype(np.float16).tobytes() for _, t, *_ in table}
+    assert drawn.groupby("lang").size().max() <= 20 and len(set(map(bytes, drawn["x"]))) == len(drawn)
+    assert 0.2 * len(drawn) <= sum(bytes(x) in known for x in drawn["x"]) <= 0.8 * len(drawn)
+
+
 def test_language_edges(docs, rows):
     df = docs()
     found = {(r["doc_id"], r["lang_pred"]) for r in rows(language_id.predict(df, language_id.train(df)))}
