@@ -65,6 +65,17 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def with_row_id(docs: DataFrame, file: str, at: str) -> DataFrame:
+    """docs with two longs that tell its rows apart: a hash of the file's path and the row's place in it.
+
+    A table just read from Parquet has them; any other is first written to the checkpoint folder with numbers of its own, so
+    that a row keeps them however often it is read.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation" and docs.inputFiles() and "_metadata" not in (c.lower() for c in docs.columns):
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(at))
+    return durable(docs.withColumns({file: F.lit(0).cast("long"), at: F.monotonically_increasing_id()}))
+
+
 def keyed(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """The id, or for a row without one a surrogate made from its text, above every real id."""
     spare = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).bitwiseAND(F.lit(SURROGATE - 1)) + F.lit(SURROGATE)

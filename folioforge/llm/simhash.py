@@ -1,15 +1,20 @@
 """SimHash near-duplicates by a segment-popcount embedding.
 
 A 64-bit fingerprint is cut into 32 segments of two bits; the vector of their bit counts is its embedding, and the
-Manhattan distance of two embeddings is a lower bound of the fingerprints' Hamming distance. Two fingerprints at
-Hamming distance 4 or less are so within Manhattan distance 4, and within 2 on the first or on the last 16 segments.
-Points within 2 of each other have a grid point within 1 of both: each fingerprint is entered in the unit cells within 1
-of it, cells are equi-joined, and the join's condition counts the differing bits exactly. Copies share a fingerprint and
-are one point.
-
-A cell that many different fingerprints share (a large group of near copies) would be joined with the square of its
-size. Its fingerprints take another exact way: two fingerprints differ in at most 4 bits just if some 64-bit value
-differs from both in at most 2, so each is linked with the smallest fingerprint of every such value, in linear time.
+Manhattan distance of two embeddings is a lower bound of the fingerprints' Hamming distance. The segments are dealt to
+three groups. Of three distances that add up to 4 at most, the two least add up to 2 at most: fingerprints that are to be
+linked lie within Manhattan distance 2 of each other on two of the three groups. Points within 2 of each other have a
+grid point within 1 of both: each fingerprint is entered, for every two groups, in the unit cells within 1 of it, cells
+are equi-joined, and the join's condition counts the differing bits exactly. Copies share a fingerprint and are one point.
+
+Cells are first counted, which is met by partial aggregation. A cell of one point is left out, one of two points is a
+pair already. A cell that very many different fingerprints share (a large group of near copies) would be joined with the
+square of its size. Its fingerprints take another exact way: two fingerprints differ in at most 4 bits just if some
+64-bit value differs from both in at most 2, so each is linked with the smallest fingerprint of every such value, in
+linear time.
+
+Joins on a key that very many rows may share (the centre of a star, a common fingerprint) are dealt by exchanges of
+their own on both sides, which the adaptive execution can split where one key's rows are too many for a task.
 """
 
 from __future__ import annotations
@@ -19,12 +24,16 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SURROGATE, durable, fresh, keyed, map_arrow
+from .common import durable, fresh, map_arrow, with_row_id
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
+#: Two-bit segments of the three groups, from the lowest bits up.
+GROUPS = (11, 11, 10)
+#: Cells that a fingerprint is entered in, for ordinary ones, and how many of them a task is to make.
+ENTRIES_A_POINT, ENTRIES_A_PARTITION = 97, 4_000_000
 _SHIFTS = np.arange(64, dtype=np.uint64)
 
 
@@ -43,87 +52,119 @@ def fingerprint(text: str | None) -> int:
     return sum(1 << k for k, c in enumerate(counts.tolist()) if 2 * c > n)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, fp) of every row: the id, the id or its surrogate, and the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp and the carried long columns of every row; fp is the fingerprint as a signed long."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        made = np.array([fingerprint(t) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "key": batch.column(1), "fp": pa.array(made)})
+        made = np.array([fingerprint(t) for t in batch.column(0).to_pylist()], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(made), *batch.columns[2:]], ["doc_id", "fp", *carried])
 
-    return map_arrow(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), keyed(id_col, text_col).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text")), run, "doc_id long, key long, fp long")
+    narrow = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), *[F.col(f"`{c}`") for c in carried])
+    return map_arrow(narrow, run, ", ".join(["doc_id long", "fp long", *(f"`{c}` long" for c in carried)]))
 
 
-def embedding(half: Column) -> Column:
-    """Bit counts of the 16 two-bit segments of a 32-bit half, each in the two bits of its segment."""
-    return half - F.shiftright(half, 1).bitwiseAND(F.lit(0x55555555))
+def embedding(fp: Column) -> Column:
+    """Bit counts of the 32 two-bit segments of a 64-bit value, each in the two bits of its segment."""
+    low = F.lit(0x5555555555555555)
+    odd, even = fp.bitwiseAND(low), F.shiftrightunsigned(fp, 1).bitwiseAND(low)
+    return odd.bitwiseXOR(even).bitwiseOR(F.shiftleft(odd.bitwiseAND(even), 1))
 
 
 def _cells(points: DataFrame) -> DataFrame:
-    """(half, cell, fp): the unit cells within Manhattan distance 1 of each half of the embedding."""
-    two = F.array(embedding(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))), embedding(F.shiftrightunsigned("fp", 32)))
-    halves = points.select("fp", F.posexplode(two).alias("half", "v"))
-    count = "(shiftrightunsigned(v, 2 * i) & 3)"
-    up = F.expr(f"transform(filter(sequence(0, 15), i -> {count} < 2), i -> v + shiftleft(1L, 2 * i))")
-    down = F.expr(f"transform(filter(sequence(0, 15), i -> {count} > 0), i -> v - shiftleft(1L, 2 * i))")
-    return halves.select("half", F.explode(F.concat(F.array("v"), up, down)).alias("cell"), "fp")
+    """(cell, fp): for every two groups, the unit cells within Manhattan distance 1 of the embedding on their segments."""
+    one, two, three = GROUPS
+    v = embedding(F.col("fp"))
+    mask = lambda n: F.lit((1 << 2 * n) - 1)
+    both = (
+        (v.bitwiseAND(mask(one + two)), one + two),
+        (F.shiftrightunsigned(v, 2 * one), two + three),
+        (F.shiftleft(F.shiftrightunsigned(v, 2 * (one + two)), 2 * one).bitwiseOR(v.bitwiseAND(mask(one))), three + one),
+    )
+    names = [f"v{k}" for k in range(len(both))]
+    # The number of the two groups stands above the bits of any cell.
+    placed = points.select("fp", *[(w + F.lit(k << 2 * (one + two))).alias(x) for x, (k, (w, _)) in zip(names, enumerate(both), strict=True)])
+    made = []
+    for x, (_, n) in zip(names, both, strict=True):
+        count = f"(shiftrightunsigned({x}, 2 * i) & 3)"
+        made += [
+            F.array(x),
+            F.expr(f"transform(filter(sequence(0, {n - 1}), i -> {count} < 2), i -> {x} + shiftleft(1L, 2 * i))"),
+            F.expr(f"transform(filter(sequence(0, {n - 1}), i -> {count} > 0), i -> {x} - shiftleft(1L, 2 * i))"),
+        ]
+    return placed.select(F.explode(F.concat(*made)).alias("cell"), "fp")
+
+
+def _near(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b)) <= DISTANCE
+
+
+def _join_split(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """many joined with one, which has a row a key. Both are dealt anew, by a value that no earlier exchange was by.
+
+    With an exchange on either side of its own, the adaptive execution splits a key that too many rows of many share.
+    """
+    left, right = many.withColumn("_dealt", F.bitwise_not(key)), one.withColumn("_dealt", F.bitwise_not(key)).drop(key)
+    return left.join(right, "_dealt", how).drop("_dealt")
 
 
 def links(points: DataFrame, hot_cell: int = 200) -> DataFrame:
     """(a, b), a < b as signed longs: edges whose connected components are those of all pairs within DISTANCE.
 
-    points has distinct fingerprints in fp. From cells of up to hot_cell points come all linked pairs; points of larger
-    cells are linked to the smallest point of each value within two bits of them, so no component is lost.
+    points has distinct fingerprints in fp and is read more than once. From cells of up to hot_cell points come all linked
+    pairs; points of larger cells are linked to the smallest point of each value within two bits of them, so no
+    component is lost.
     """
-    shared = durable(_cells(points).withColumn("n", F.count("*").over(Window.partitionBy("half", "cell"))).where("n > 1"))
-    small = shared.where(F.col("n") <= hot_cell)
-    a, b = small.alias("a"), small.alias("b")
-    near = (F.col("a.half") == F.col("b.half")) & (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fp") < F.col("b.fp")) & (F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= DISTANCE)
-    pairs = a.join(b, near).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    spark = points.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), points.count() * ENTRIES_A_POINT // ENTRIES_A_PARTITION + 1)
+    cells = _cells(points.repartition(n))
+    counted = durable(cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
+    twos = counted.where("n = 2").select("a", "b").where(_near(F.col("a"), F.col("b")))
+    shared = durable(cells.join(counted.where("n > 2").select("cell", "n"), "cell"))
+    small = shared.where(F.col("n") <= hot_cell).select("cell", "fp")
+    a, b = small.select("cell", F.col("fp").alias("a")), small.select("cell", F.col("fp").alias("b"))
+    pairs = a.join(b, "cell").where("a < b").where(_near(F.col("a"), F.col("b"))).select("a", "b")
     hot = shared.where(F.col("n") > hot_cell).select("fp").distinct()
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), k) for k in range(64)])
     # Values within two bits: each pair of positions once; the same position twice is the value itself.
     balls = hot.select("fp", F.explode(F.expr("sequence(0, 64)")).alias("i"), flips.alias("flips")).select("fp", F.explode(F.expr("transform(sequence(i, 64), j -> if(i = j and i > 0, fp ^ flips[i], fp ^ flips[i] ^ flips[j]))")).alias("value"))
     least = balls.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("value", "a")
-    stars = balls.join(least, "value").where("a < fp").select("a", F.col("fp").alias("b"))
-    return pairs.unionByName(stars).distinct()
+    stars = _join_split(balls, least, "value").where("a < fp").select("a", F.col("fp").alias("b"))
+    return twos.unionByName(pairs).unionByName(stars).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node that it reaches.
 
-    Alternates two contractions, of larger and of smaller neighbours to the smallest one, until no edge changes; a
-    node with very many edges is met by partial aggregation alone. Each round is written to the checkpoint folder.
+    Alternates two contractions, of larger and of smaller neighbours to the smallest one, until every edge is that of a
+    star's centre and one of its other nodes. Smallest neighbours are met by partial aggregation, and sent to a node's
+    edges by joins that can be split. Each round is written to the checkpoint folder.
     """
 
     def larger(e: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        return both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a != b").distinct()
+        return _join_split(both.where("b > a"), least, "a").select(F.col("m").alias("a"), "b").where("a != b")
 
     def smaller(e: DataFrame) -> DataFrame:
         least = e.groupBy("b").agg(F.min("a").alias("m"))
-        moved = e.join(least, "b").select(F.col("m").alias("x"), F.col("a").alias("y")).where("x != y")
+        moved = _join_split(e, least, "b").select(F.col("m").alias("x"), F.col("a").alias("y")).where("x != y")
         return moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).unionByName(least.select(F.col("m").alias("a"), "b")).distinct()
 
     state = durable(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct())
-    sign = None
     for _ in range(max_rounds):
-        state = durable(smaller(larger(state)))
-        now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == sign:
+        ends = state.select(F.col("a").alias("node"), F.lit(0).alias("below")).unionByName(state.select("b", F.lit(1)).toDF("node", "below"))
+        # Stars: no node is both a centre and below one, or below two.
+        if ends.groupBy("node").agg(F.sum("below").alias("n"), F.min("below").alias("centre")).where("n > 1 or (n = 1 and centre = 0)").isEmpty():
             return state.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(state.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
-        sign = now
+        state = durable(smaller(larger(state)))
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def _with_components(made: DataFrame, hot_cell: int) -> DataFrame:
-    """made, of fingerprints(), with the smallest key of each row's component; made must be durable."""
-    classes = made.groupBy("fp").agg(F.min("key").alias("least"))
-    edges = links(classes.select("fp"), hot_cell)
-    labelled = classes.join(components(edges).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    of = labelled.select("fp", "root").join(least, "root").select("fp", "component")
-    return made.join(of, "fp")
+def _classes(made: DataFrame, first: Column, hot_cell: int) -> DataFrame:
+    """(fp, root, first): every fingerprint of made with its component's least one and the least value of `first` among its own rows."""
+    classes = durable(made.groupBy("fp").agg(F.min(first).alias("first")))
+    found = components(links(classes.select("fp"), hot_cell))
+    return classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_cell: int = 200) -> DataFrame:
@@ -133,20 +174,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reachable, itself included; null if no document of the component has an id. Null and empty texts have
     fingerprint zero and are linked like any other. Repeated rows each give a row. Other columns are not read.
     """
-    out = _with_components(durable(fingerprints(docs, id_col, text_col)), hot_cell)
-    component = F.when(F.col("component") < SURROGATE, F.col("component"))
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"))
+    made = durable(fingerprints(docs, id_col, text_col))
+    classes = durable(_classes(made, F.col("doc_id"), hot_cell))
+    least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
+    of = _join_split(classes.select("fp", "root"), least, "root").select("fp", "component_id")
+    return _join_split(made, of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_cell: int = 200) -> DataFrame:
-    """The rows of docs, all columns as they are, with one document of each component left: that of the smallest doc_id.
+    """The rows of docs, all columns as they are, with one of each component left: that of the smallest doc_id.
 
-    Of several rows with that id, one stays. Rows without an id go where any other of their component has one;
-    among themselves the smallest surrogate stays.
+    Rows without an id come after all others; of several rows with that id, or without any, the first where docs is
+    stored stays. Rows are told apart by where they are stored, not by their id: of one id's rows in different components
+    each component keeps its own.
     """
-    key, rank, whole = fresh(docs, "row_key", "row_rank", "row_hash")
-    kept = _with_components(durable(fingerprints(docs, id_col, text_col)), hot_cell).where("key = component").select(F.col("key").alias(key)).distinct()
-    rows = docs.withColumn(key, keyed(id_col, text_col)).join(kept, key, "left_semi")
-    one = Window.partitionBy(key).orderBy(whole)
-    columns = docs.columns
-    return rows.withColumn(whole, F.xxhash64(*[F.col(f"`{c}`") for c in columns])).withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).select(*[f"`{c}`" for c in columns])
+    file, at = fresh(docs, "row_file", "row_at")
+    numbered = with_row_id(docs, file, at)
+    made = durable(fingerprints(numbered, id_col, text_col, (file, at)))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col(f"`{file}`"), F.col(f"`{at}`"))
+    kept = _classes(made, first, hot_cell).groupBy("root").agg(F.min("first").alias("first")).select(F.col(f"first.`{file}`").alias(file), F.col(f"first.`{at}`").alias(at))
+    return numbered.join(kept, [file, at], "left_semi").select(*[f"`{c}`" for c in docs.columns])

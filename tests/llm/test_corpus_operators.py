@@ -77,13 +77,13 @@ def test_links_are_complete(spark, rows, hot_cell):
 
 def test_embedding_bounds_the_distance(spark):
     rng = random.Random(3)
-    pairs = [(rng.getrandbits(32), rng.getrandbits(32)) for _ in range(200)]
-    counts = lambda x: [(x >> 2 * k & 3).bit_count() for k in range(16)]
+    pairs = [(rng.getrandbits(64) - (1 << 63), rng.getrandbits(64) - (1 << 63)) for _ in range(200)]
+    counts = lambda x: [((x & MASK) >> 2 * k & 3).bit_count() for k in range(32)]
     df = spark.createDataFrame(pairs, "a long, b long").select("a", "b", simhash.embedding(F.col("a")).alias("x"), simhash.embedding(F.col("b")).alias("y"))
     for r in df.collect():
-        x, y = ([v >> 2 * k & 3 for k in range(16)] for v in (r.x, r.y))
+        x, y = ([(v & MASK) >> 2 * k & 3 for k in range(32)] for v in (r.x, r.y))
         assert x == counts(r.a) and y == counts(r.b)
-        assert sum(abs(p - q) for p, q in zip(x, y, strict=True)) <= (r.a ^ r.b).bit_count()
+        assert sum(abs(p - q) for p, q in zip(x, y, strict=True)) <= ((r.a ^ r.b) & MASK).bit_count()
 
 
 def near_texts():
@@ -113,6 +113,16 @@ def test_near_duplicates(spark, rows, docs):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in rows(kept)) == sorted({v for v in truth.values()})
 
 
+def test_keep_one_of_a_stored_table(rows, docs, spark, tmp_path):
+    """Rows of one id with texts of different components each stay; repeated rows leave one, also across files."""
+    texts = [" ".join(f"{w}{k}" for w in "abcdefgh") for k in range(5)]
+    table = [(1, texts[0], "en", "s"), (1, texts[1], "en", "s"), (1, texts[0], "en", "s"), (2, texts[0], "en", "s"), (None, texts[2], "en", "s"), (None, texts[2], "en", "s"), (None, texts[1], "en", "s"), ((1 << 62) + 5, texts[3], "en", "s")]
+    docs(table).repartition(3).write.parquet(str(tmp_path / "t"))
+    kept = simhash.keep_one(spark.read.parquet(str(tmp_path / "t")))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in rows(kept)) == sorted([(1, texts[0]), (1, texts[1]), (0, texts[2]), ((1 << 62) + 5, texts[3])])
+    assert {r["component_id"] for r in rows(simhash.near_duplicates(docs([((1 << 62) + 5, texts[3], "en", "s")])))} == {(1 << 62) + 5}
+
+
 def test_near_duplicate_edges(docs, rows):
     found = rows(simhash.near_duplicates(docs()))
     assert len(found) == 7 and {r["component_id"] for r in found if r["doc_id"] == 3} == {3}
