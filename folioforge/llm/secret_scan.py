@@ -19,15 +19,30 @@ from .common import fresh
 KEY_WORDS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key|client[_-]?secret"
 HASH_WORDS = "sha1|sha256|sha|md5|commit|checksum|digest|hash|uuid|guid|revision|build|etag|order|invoice|isbn|phone|card|serial|version"
 TEST_PATHS = "test|example|sample|fixture|mock|demo"
-# Common words and syllables, for dictionary coverage.
-DICTIONARY = "the|and|tion|ing|ent|ion|her|for|tha|ter|ate|all|ith|ver|ous|ment|able|ness|less|est|ed|er|ly|in|on|re|th|an|en|un|der|die|und|que|les|des|ung|ich|ein|con|com|para|example|changeme|password|your|sample|test|dummy|placeholder|null|none|true|false|user|name|value"
-#: What is looked at: known key formats, long runs of key characters with a digit among them, and values given to a key word, with what assigns them.
+# Common words of code and of four languages, and common endings, for dictionary coverage.
+WORDS = (
+    "the and for are but not you all any can had her was one our out day get has him his how man new now old see two way who "
+    "about after again also area back base been before being below both came case come could data does done down each even "
+    "every find first found from give good great hand have head help here high home house into just keep kind know last late "
+    "left less life like line list long look made make many more most much must name need next only open other over part "
+    "place point read right same school seem should show side small some state still such take tell than that them then there "
+    "these they thing think this time under until value very want water well were what when where which while will with "
+    "word work world would write year your "
+    "true false none null user test sample example dummy password changeme placeholder comment chapter version token secret key "
+    "config default admin demo index number string content file path "
+    "der die das und ist nicht ein eine auf mit den von que los las una por con para les des est pour dans sur avec une "
+    "ation ingly ment ness able ing ung ion ent ter ous ver ith est ed er ly in on re th an en un"
+).split()
+DICTIONARY = "|".join(sorted(dict.fromkeys(WORDS), key=lambda w: (-len(w), w)))
+#: What is looked at: known key formats, passwords in addresses, long runs of key characters with a digit among them, longer ones without, and values given to a key word. What assigns a value is found with it.
 CANDIDATE = (
     r"(?:AKIA|ASIA)[0-9A-Z]{16}\b|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
-    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+    r"|://[^\s/:@\"']*+:[^\s/@\"']{3,}+(?=@)"
+    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+    r"|(?<![A-Za-z0-9+/_-])(?=[+/_-]*+[A-Za-z])[A-Za-z+/_-]{24,}={0,2}"
     r"|[=:](?<=(?i:token|secret|password|passwd|pwd|key|auth)[\"']?\s{0,2}[=:])\s{0,2}[\"']?[^\s\"'=:<>(){},;|&]{6,}"
 )
-ASSIGNS = r"^[=:]\s{0,2}[\"']?"
+ASSIGNS = r"^(?:://[^\s/:@\"']*:|[=:]\s{0,2}[\"']?)"
 REDACTED = "[REDACTED]"
 CONTEXT = 40
 FEATURES = ("length", "digits", "upper", "lower", "other", "changes", "letter_digit_changes", "rare_pairs", "hex_only", "digits_only", "dashes", "coverage", "known", "assigned", "key_word", "hash_word", "after_closes", "test_path")
@@ -63,60 +78,82 @@ def features(value: Column, before: Column, after: Column, path: Column) -> Colu
         "assigned": _holds(before, r"[=:]\s{0,2}[\"']?$"),
         "key_word": _holds(near, f"(?i)(?:{KEY_WORDS})$"),
         "hash_word": _holds(unquoted, rf"(?i)\b(?:{HASH_WORDS})\b"),
-        "after_closes": _holds(after, "^[\"']"),
+        "after_closes": _holds(after, "^[\"'@]"),
         "test_path": _holds(path, f"(?i)(?:{TEST_PATHS})"),
     }
     return F.struct(*[F.coalesce(columns[k], F.lit(0.0)).alias(k) for k in FEATURES])
 
 
-def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
-    """Findings with a label, made by rule from hashes of row numbers: value, before, after, path, label.
+def labelled_findings(spark: SparkSession, rows: int = 8000, first: int = 0) -> DataFrame:
+    """Findings with a label, made by rule from hashes of the numbers from `first` on: value, before, after, path, label.
 
-    Even numbers are live: provider keys, and hex, base64 and mixed strings given to a key word. Odd ones are not:
-    hashes and ids named as such, long numbers, dictionary words with a number, placeholders, hex in prose, and dummy keys,
-    which are live ones but for their path. Dummy keys and half of the others that aren't live have a path of tests or
-    examples; of the live ones one in forty has.
+    The label follows from how a value was made, not from where it stands: even numbers are live, drawn at random (provider
+    keys, hex, base64, letters alone, passwords), odd ones are not (hashes and ids, numbers, words, placeholders, paths,
+    provider keys that spell words, and dummy keys, random ones on a path of tests). Neighbouring words are drawn for both
+    from the same kinds, in other shares: a live value stands mostly behind a key word, but one in ten behind the name of a
+    hash, and a dead one behind a key word in one of six, a placeholder or dummy key mostly. No feature tells the label.
     """
     pick = (F.col("id") / 2).cast("long")
     hexed = F.sha2(F.concat(F.lit("v"), F.col("id")).cast("binary"), 256)
     mixed = F.translate(F.base64(F.unhex(hexed)), "=", "")
+    letters = F.translate(mixed, "0123456789+/", "qZkWvXjRpTyB")
     number = F.regexp_replace(F.concat(F.conv(F.substring(hexed, 1, 14), 16, 10), F.conv(F.substring(hexed, 15, 10), 16, 10)), "[^0-9]", "0")
 
-    def one_of(salt: str, *texts: str) -> Column:
-        return F.element_at(F.array(*[F.lit(t) for t in texts]), (F.pmod(F.xxhash64(F.lit(salt), F.col("id")), F.lit(len(texts))) + 1).cast("int"))
-
+    def draw(salt: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(salt), F.col("id")), F.lit(n))
+
+    def one_of(salt: str, *texts: str | Column) -> Column:
+        return F.element_at(F.array(*[F.lit(t) if isinstance(t, str) else t for t in texts]), (draw(salt, len(texts)) + 1).cast("int"))
+
+    word = lambda salt: one_of(salt, *WORDS[::3])
+    live = [
+        F.concat(F.lit("AKIA"), F.substring(F.translate(F.upper(mixed), "+/", "QZ"), 1, 16)),
+        F.concat(F.lit("ghp_"), F.substring(F.translate(mixed, "+/", "aZ"), 1, 38)),
+        F.substring(hexed, 1, 40),
+        one_of("h", F.substring(hexed, 1, 16), F.substring(hexed, 1, 32), hexed),
+        mixed,
+        F.substring(letters, 1, 32),
+        F.concat(F.substring(letters, 1, 5), one_of("q", "!", "#", "$", "%", "?", "7"), F.substring(hexed, 1, 5)),
+    ]
+    dummy = one_of("y", F.substring(hexed, 1, 40), F.substring(hexed, 1, 16), mixed)
+    dead = [
+        F.substring(hexed, 1, 40),
+        one_of("h", hexed, F.substring(hexed, 1, 32), F.substring(hexed, 1, 16)),
+        F.substring(number, 1, 16),
+        F.concat_ws("_", word("a"), word("b"), word("c"), F.substring(number, 1, 3)),
+        F.concat_ws("-", F.substring(hexed, 1, 8), F.substring(hexed, 9, 4), F.substring(hexed, 13, 4), F.substring(hexed, 17, 4), F.substring(hexed, 21, 12)),
+        F.concat(*[F.initcap(word(x)) for x in "abcdef"]),
+        F.concat_ws("/", word("a"), word("b"), word("c"), word("d"), F.substring(number, 1, 2)),
+        one_of("d", "changeme", "your_password_here", "example_value", "placeholder123", "none_needed", "test_user_name", "insert-token-here"),
+        F.concat(F.lit("AKIA"), F.substring(F.upper(F.concat(word("a"), word("b"), word("c"), word("d"), F.lit("EXAMPLEEXAMPLE"))), 1, 16)),
+        dummy,
+        dummy,
+    ]
+    even = F.col("id") % 2 == 0
+    kind = F.pmod(pick, F.when(even, len(live)).otherwise(len(dead)))
+    value = F.when(even, F.element_at(F.array(*live), (F.pmod(pick, F.lit(len(live))) + 1).cast("int"))).otherwise(F.element_at(F.array(*dead), (F.pmod(pick, F.lit(len(dead))) + 1).cast("int")))
     prose = one_of("p", "the thing and ", "und der die ", "que los de la ", "est pour les ", "ation. ", "", "see ")
     keyed = F.concat(prose, one_of("k", 'token = "', "password=", "api_key: ", "secret='", 'ACCESS_KEY = "', "Authorization: Bearer ", "client_secret=", "passwd: ", 'auth_token="'))
-    plain = F.concat(prose, one_of("n", "sha256: ", "commit ", "md5 = ", "checksum=", "uuid ", "", "", "order ", "build=", "id ", "phone "))
-    close = one_of("c", '" then', "' and", " the", "", "\nof", '"')
-    live = (
-        F.when(pick % 5 == 0, F.concat(F.lit("AKIA"), F.substring(F.translate(F.upper(mixed), "+/", "QZ"), 1, 16)))
-        .when(pick % 5 == 1, F.substring(hexed, 1, 40))
-        .when(pick % 5 == 2, F.substring(hexed, 1, 16))
-        .when(pick % 5 == 3, mixed)
-        .otherwise(F.concat(F.lit("ghp_"), F.substring(F.translate(mixed, "+/", "aZ"), 1, 38)))
+    hashed = F.concat(prose, one_of("n", "sha256: ", "commit ", "md5 = ", 'checksum="', "uuid ", "order ", "build=", "revision: ", "phone "))
+    plain = F.concat(prose, one_of("m", "", "", "value = ", 'x: "', "id "))
+    address = F.concat(prose, one_of("u", "postgres://admin:", "https://user:", "ftp://backup:"))
+    place = draw("w", 100)
+    often = ~even & kind.isin(7, 9, 10)  # placeholders and dummy keys
+    before = (
+        F.when(even & (kind == 6) & (place < 35), address)
+        .when(even, F.when(place < 75, keyed).when(place < 90, plain).otherwise(hashed))
+        .when(often, F.when(place < 85, keyed).otherwise(plain))
+        .otherwise(F.when(place < 45, hashed).when(place < 84, plain).otherwise(keyed))
     )
-    kind = F.least(pick % 8, F.lit(6))
-    dead = (
-        F.when(kind == 0, F.substring(hexed, 1, 40))
-        .when(kind == 1, hexed)
-        .when(kind == 2, F.substring(number, 1, 16))
-        .when(kind == 3, F.concat(one_of("w", "the_station_", "interesting-and-", "example/sample/", "undermentioned", "your_password_", "comment-", "chapter/"), F.substring(number, 1, 3), F.lit("_version")))
-        .when(kind == 4, F.concat_ws("-", F.substring(hexed, 1, 8), F.substring(hexed, 9, 4), F.substring(hexed, 13, 4), F.substring(hexed, 17, 4), F.substring(hexed, 21, 12)))
-        .when(kind == 6, F.element_at(F.array(F.substring(hexed, 1, 40), F.substring(hexed, 1, 16), mixed), (F.pmod(F.xxhash64(F.lit("y"), F.col("id")), F.lit(3)) + 1).cast("int")))
-        .otherwise(one_of("d", "changeme", "your_password_here", "example_value", "placeholder123", "none_needed", "test_user_name"))
-    )
-    even = F.col("id") % 2 == 0
-    known = even & (pick % 5).isin(0, 4)
-    before = F.when(known, F.when(F.col("id") % 3 == 0, prose).otherwise(keyed)).when(even, keyed).when(kind >= 5, keyed).otherwise(plain)
-    share = F.pmod(F.xxhash64(F.lit("s"), F.col("id")), F.lit(40))
-    tried = F.when(even, share == 0).otherwise((kind == 6) | (share < 20))
+    after = F.when(even & (kind == 6) & (place < 35), F.lit("@db")).otherwise(one_of("c", '" then', "' and", " the", "", "\nof", '"'))
+    share = draw("s", 40)
+    tried = F.when(even, share == 0).otherwise((kind >= 9) | (share < 20))
     folder = F.when(tried, one_of("t", "tests/", "src/test/", "examples/", "fixtures/", "samples/", "mocks/", "demo/")).otherwise(one_of("r", "src", "src/app/", "lib/", "docs/", "conf/"))
     path = F.concat(folder, F.pmod(F.xxhash64("id"), F.lit(40)).cast("string"))
-    return spark.range(rows).select(F.when(even, live).otherwise(dead).alias("value"), before.alias("before"), close.alias("after"), path.alias("path"), even.cast("double").alias("label"))
+    return spark.range(first, first + rows).select(value.alias("value"), before.alias("before"), after.alias("after"), path.alias("path"), even.cast("double").alias("label"))
 
 
-def train_forest(findings: DataFrame, trees: int = 15, depth: int = 6, max_rows: int = 20_000, seed: int = 11):
+def train_forest(findings: DataFrame, trees: int = 15, depth: int = 7, max_rows: int = 20_000, seed: int = 11):
     """A random forest over labelled findings, of which max_rows at most are used: those of the smallest hash."""
     x = findings.withColumn("x", features(F.col("value"), F.col("before"), F.col("after"), F.coalesce(F.col("path"), F.lit("")))).orderBy(F.xxhash64("value", "before")).limit(max_rows).select("x.*", F.col("label").cast("double").alias("label"))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(x).select("features", "label")
