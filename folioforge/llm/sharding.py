@@ -1,6 +1,7 @@
 """Sharding: contiguous shards of near equal bytes, cut by global prefix sums.
 
-Documents are dealt by ranges of doc_id and sorted; per-partition totals of bytes and rows, summed over the partitions
+Documents are put in the order of a digest of their text, so that equal texts stand together, and of doc_id. They are dealt
+by ranges of that order and sorted; per-partition totals of bytes and rows, summed over the partitions
 before, give each partition its offset, so no task ever sees more than its own range. A document whose first byte, in
 the running sum over all documents, lies in the k-th of `shards` equal parts of the total goes to shard k.
 """
@@ -18,11 +19,12 @@ OVERHEAD = 16
 def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 2000, max_ranges: int = 5000) -> DataFrame:
     """One row a document: doc_id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null), global_offset.
 
-    size is the text's bytes in UTF-8 (none for a null text) plus OVERHEAD. Shards are contiguous in the order of
-    doc_id, rows of the same id by checksum and size, rows without an id first; rows alike in all three are
-    interchangeable. A shard holds its share of the bytes but for one document at either end. slot counts from 0
-    within a shard without a gap. Equal texts have no shard in common unless they are neighbours: a group of copies
-    may hold more than a shard does. No text is shuffled, and other columns are not read.
+    size is the text's bytes in UTF-8 (none for a null text, which counts as empty otherwise) plus OVERHEAD. Shards are
+    contiguous in the order of the text's 64-bit xxHash (as a signed number) and doc_id, rows without an id first. A shard
+    holds its share of the bytes but for one document at either end. slot counts from 0 within a shard without a gap.
+    Equal texts share a shard, unless a cut between shards falls among them; a group larger than a shard fills several. Rows
+    alike in text and id are interchangeable; the row's place in the input, taken as last, spreads them over ranges. No text
+    is shuffled, and other columns are not read.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
@@ -31,10 +33,12 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", te
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("digest"),
+        F.monotonically_increasing_id().alias("row_at"),
     )
-    n = rows.count()
+    n = docs.count()
     ranges = max(1, -(-n // max(rows_per_range, -(-n // max_ranges))))
-    order = ["doc_id", "text_crc32", "size"]
+    order = ["digest", "doc_id", "row_at"]
     # The dealt rows are written once: a partition's number has to stay the same in both uses of it.
     dealt = durable(rows.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
