@@ -16,10 +16,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, map_arrow
+from .common import bound_batches, durable, map_arrow
 
 WINDOW, LEAST_BLOCK, LENGTH = 7, 3, 64
 _SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -134,74 +135,122 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_arrow(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")), run, "doc_id long, fingerprint string")
 
 
-def _ranges(docs: DataFrame, rows_per_range: int, max_ranges: int) -> tuple[list[int], list[int | None]]:
-    """Lower bounds of ranges of ids, descending and holding about equal numbers of rows, and each range's largest id.
+def _hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-    Only ids are read and sorted; what comes to the driver is two numbers a range.
-    """
-    ids = docs.select("doc_id")
-    rows = ids.count()
-    n = max(1, -(-rows // max(rows_per_range, -(-rows // max_ranges))))
-    cut = durable(ids.repartitionByRange(n, F.desc_nulls_last("doc_id")).withColumn("part", F.spark_partition_id()))
-    found = cut.groupBy("part").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("high is not null").orderBy("part").collect()
-    return [r.low for r in found], [r.high for r in found]
 
+class _Ranges:
+    """Ranges of rows in the order of descending id, rows without one last, and of the text's hash within an id.
+
+    Keys are (no id, -id, hash). Range k starts with firsts[k]; `copies` has the keys of more rows than a range is to hold, with
+    the number of ranges more that their rows are dealt to.
+    """
 
-def follow_and_compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 500, max_ranges: int = 20_000) -> DataFrame:
+    def __init__(self, keys: DataFrame, rows_per_range: int, max_ranges: int):
+        """keys has doc_id and tie. What comes to the driver is a key a range, and a key for each one of very many rows."""
+        counted = durable(keys.groupBy("doc_id", "tie").agg(F.count("*").alias("n")))
+        distinct, rows = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        size = max(rows_per_range, -(-rows // max_ranges))
+        order = [F.desc_nulls_last("doc_id"), F.asc("tie")]
+        dealt = durable(counted.repartitionByRange(max(1, -(-distinct // (64 * size))), *order).withColumn("part", F.spark_partition_id()))
+        within = Window.partitionBy("part").orderBy(*order)
+        # A key of very many rows counts as one row: the others go elsewhere.
+        upto = F.sum(F.least("n", F.lit(size))).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.least("n", F.lit(size))
+        cut = dealt.withColumn("cut", F.floor(upto / size))
+        starts = F.coalesce(F.lag("cut").over(within) != F.col("cut"), F.lit(True))
+        found = cut.withColumn("starts", starts).where(F.col("starts") | (F.col("n") > size)).select("doc_id", "tie", "n", "starts").toArrow()
+        keyed = sorted(zip(map(self.key, found["doc_id"].to_pylist(), found["tie"].to_pylist()), found["n"].to_pylist(), found["starts"].to_pylist(), strict=True))
+        self.firsts = [k for k, _, starts in keyed if starts]
+        self.copies, self.n = {}, len(self.firsts)
+        for k, n, _ in keyed:
+            if n > size:
+                more = -(-n // size)
+                self.copies[k] = self.n, more
+                self.n += more
+
+    @staticmethod
+    def key(doc_id: int | None, tie: int) -> tuple[bool, int, int]:
+        return doc_id is None, -(doc_id or 0), tie
+
+
+def follow_and_compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 2000, max_ranges: int = 200_000) -> DataFrame:
     """Every document with its fingerprint, that of its edited text, and two likenesses.
 
     The following document is the next one in descending doc_id, after the last one the first; rows of the same id
-    follow each other in the order of their texts' SHA-256, rows without an id come last. A null text counts as empty. A
-    single row follows itself. Other columns are not read. Returns doc_id, n_chars, edited_sha256, fingerprint,
+    follow each other in the order of their texts' 64-bit xxHash, rows without an id come last. A null text counts as empty.
+    A single row follows itself. Other columns are not read. Returns doc_id, n_chars, edited_sha256, fingerprint,
     edited_fingerprint, near_edited, near_next.
 
-    Texts are compressed before the one shuffle, which deals them by ranges of ids; the first row of each range is
-    sent to the range before it as well, so that no range waits for another. There are at most max_ranges ranges, which
-    bounds what the driver holds.
+    Texts are compressed before the one shuffle, which deals them to ranges of about rows_per_range rows, one a task; a row
+    that starts a range is sent to the range before it as well, so that no range waits for another. Of rows alike in id and
+    text, if they are too many for a range, all but the first few each follow another of them: they go to ranges of their
+    own. There are at most max_ranges ranges of different rows, which bounds what the driver holds.
     """
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    lows, highs = _ranges(rows, rows_per_range, max_ranges)
-    nulls = rows.where("doc_id is null").limit(1).count() > 0
-    ascending = [-x for x in lows]
-    n = len(lows) + nulls
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), _hash(text).alias("tie"), text.alias("text"))
+    ranges = _Ranges(rows.select("doc_id", "tie"), rows_per_range, max_ranges)
+    firsts, copies, n = ranges.firsts, ranges.copies, len(ranges.firsts)
 
-    def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def deal(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
-        out = []
-        for doc_id, text in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
-            k = n - 1 if doc_id is None else bisect.bisect_left(ascending, -doc_id)
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            tie, data = hashlib.sha256(raw).digest()[:8], pack(raw)
-            out.append((k, 0, doc_id, tie, data))
-            if doc_id is None or doc_id == highs[k]:
-                out.append(((k - 1) % n, 1, doc_id, tie, data))
-        cols = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
-        return pa.RecordBatch.from_arrays(cols, ["part", "extra", "doc_id", "tie", "data"])
-
-    dealt = map_arrow(rows, deal, "part int, extra int, doc_id long, tie binary, data binary")
-    ordered = dealt.repartition(max(1, n), "part").sortWithinPartitions("part", "extra", F.desc_nulls_last("doc_id"), "tie").drop("tie")
+        met: dict[tuple, int] = {}
+        start = TaskContext.get().partitionId() * 7919
+        for batch in batches:
+            out = []
+            for doc_id, tie, text in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
+                key = _Ranges.key(doc_id, tie)
+                k = bisect.bisect_right(firsts, key) - 1
+                starts = firsts[k] == key
+                before = met.get(key, 0)
+                if starts or key in copies:
+                    met[key] = before + 1
+                data = pack((text or "").encode("utf-8", "surrogatepass"))
+                # The first copy that a task meets stays in its place, so that there is one there; it is also the one that ends the range before.
+                if before and key in copies:
+                    base, more = copies[key]
+                    out.append((base + (start + before) % more, 0, doc_id, tie, data))
+                else:
+                    out.append((k, 0, doc_id, tie, data))
+                if starts and not before:
+                    out.append(((k - 1) % n, 1, doc_id, tie, data))
+            if out:
+                cols = [pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, ["part", "extra", "doc_id", "tie", "data"])
+
+    bound_batches(docs.sparkSession)
+    dealt = rows.mapInArrow(deal, "part int, extra int, doc_id long, tie long, data binary")
+    ordered = dealt.repartitionById(max(1, ranges.n), "part").sortWithinPartitions("part", "extra", F.desc_nulls_last("doc_id"), "tie").drop("tie")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         held, done = None, None  # the row whose following one comes next: (part, id, text, fingerprint); the part that is over
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
         def row(now, text, mark):
             changed = edited(now[2], text)
             other = fingerprint(changed)
             return now[1], len(now[2]), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), now[3], other, likeness(now[3], other), likeness(now[3], mark)
 
+        def batch_of(out):
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
         for batch in batches:
             out = []
             for part, extra, doc_id, data in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
                 if extra and part == done:
                     continue
+                if held and held[0] != part:  # the last of a range of copies follows another copy
+                    out.append(row(held, held[2], held[3]))
+                    held = None
                 text = unpack(data).decode("utf-8", "surrogatepass")
-                mark = held[3] if held and held[0] == part and held[2] == text else fingerprint(text)
-                if held and held[0] == part:
+                mark = held[3] if held and held[2] == text else fingerprint(text)
+                if held:
                     out.append(row(held, text, mark))
                 held, done = (None, part) if extra else ((part, doc_id, text, mark), done)
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+                yield batch_of(out)
+        if held:
+            yield batch_of([row(held, held[2], held[3])])
 
     return ordered.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
