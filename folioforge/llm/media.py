@@ -22,6 +22,8 @@ SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH, CHANNELS = 64, 3
 ROW = WIDTH * CHANNELS
 SIDE, LOW = 32, 8
+#: Rows that the writer looks at together, so that it needs a bounded multiple of them beside the image.
+SLAB = 4096
 _CHANNELS = {0: 1, 2: 3, 4: 2, 6: 4}
 _COSINES = np.array([[np.cos(np.pi * (2 * x + 1) * u / (2 * SIDE)) for x in range(SIDE)] for u in range(LOW)])
 
@@ -34,18 +36,24 @@ def write_png(samples: np.ndarray) -> bytes:
     """8-bit samples (height, width, channels) as a PNG; each row is filtered by none, left or up, whichever has the least sum."""
     height, width, channels = samples.shape
     kind = {n: k for k, n in _CHANNELS.items()}[channels]
-    raw = samples.reshape(height, width * channels)
-    left, up = raw.copy(), raw.copy()
-    left[:, channels:] -= raw[:, :-channels]
-    up[1:] -= raw[:-1]
-    forms = np.stack([raw, left, up])
-    costs = np.abs(forms.view(np.int8).astype(np.int16)).sum(axis=2)
-    costs[0] //= 3  # text and flat colours repeat themselves, which deflate finds in rows as they are
-    best = costs.argmin(axis=0)
-    lines = np.empty((height, raw.shape[1] + 1), np.uint8)
-    lines[:, 0], lines[:, 1:] = best, forms[best, np.arange(height)]
+    whole = samples.reshape(height, width * channels)
+    pack, packed = zlib.compressobj(6), []
+    for start in range(0, height, SLAB):
+        raw = whole[start : start + SLAB]
+        left, up = raw.copy(), raw.copy()
+        left[:, channels:] -= raw[:, :-channels]
+        up[1:] -= raw[:-1]
+        if start:
+            up[0] -= whole[start - 1]
+        forms = np.stack([raw, left, up])
+        costs = np.abs(forms.view(np.int8).astype(np.int16)).sum(axis=2)
+        costs[0] //= 3  # text and flat colours repeat themselves, which deflate finds in rows as they are
+        best = costs.argmin(axis=0)
+        lines = np.empty((len(raw), raw.shape[1] + 1), np.uint8)
+        lines[:, 0], lines[:, 1:] = best, forms[best, np.arange(len(raw))]
+        packed.append(pack.compress(lines.tobytes()))
     header = struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0)
-    return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + _chunk(b"IEND", b"")
+    return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", b"".join([*packed, pack.flush()])) + _chunk(b"IEND", b"")
 
 
 def chunks(data: bytes):
@@ -159,22 +167,27 @@ def media_column(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def media_features(media: DataFrame) -> DataFrame:
-    """Read the images of media_column() back: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
+    """Read the images of media_column() back: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, problem.
 
-    A damaged image is an error. A null image gives nulls.
+    A damaged image, one whose checksums, data or kind can't be read, has its size and digest and a problem, and nulls
+    for all that is read from it. A null image gives nulls. problem is null for a sound image.
     """
 
     def one(data: bytes | None):
         if data is None:
-            return (None,) * 6
-        samples = read_png(data)
+            return (None,) * 7
+        size, digest = len(data), hashlib.sha256(data).hexdigest()
+        try:
+            samples = read_png(data)
+        except (ValueError, zlib.error, struct.error) as error:
+            return None, None, None, size, digest, None, str(error)
         payload = samples.tobytes()
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), cosine_hash(samples)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), size, digest, cosine_hash(samples) if samples.size else None, None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [one(x) for x in batch.column(2).to_pylist()]
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
         cols = [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "problem"])
 
-    return map_arrow(media.select("doc_id", "n_bytes", "media"), run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return map_arrow(media.select("doc_id", "n_bytes", "media"), run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, problem string")
