@@ -30,6 +30,8 @@ from .common import map_arrow
 #: Below it, lower case, white space and letters are the same in Python and in the library, and NFC changes nothing.
 PLAIN_END = 0x250
 CACHE = 100_000
+#: Longer words are not kept: the cache is bounded in words and in their length.
+KEPT_CHARACTERS = 64
 
 
 def byte_symbols() -> str:
@@ -58,6 +60,8 @@ class _Words(dict):
         self.encode, self.older = encode, {}
 
     def __missing__(self, word):
+        if len(word) > KEPT_CHARACTERS:
+            return self.encode(word)
         ids = self.older.get(word) or self.encode(word)
         if len(self) >= CACHE:
             self.older = dict(self)
@@ -72,6 +76,8 @@ class Bpe:
         model = spec["model"]
         self.suffix = model["end_of_word_suffix"] or ""
         self.source, self.vocab = source, model["vocab"]
+        if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec["added_tokens"]):
+            raise ValueError("added tokens that take in space or stand for whole words only are not supported")
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token_of = {i: t for t, i in [*self.vocab.items(), *special.items()]}
         self.special = special
@@ -134,7 +140,7 @@ class Bpe:
         """Ids of a whole text; a null one is empty. Strings of special tokens become their ids."""
         if not text:
             return []
-        parts = self.split_special.split(text) if self.split_special and "<|" in text else [text]
+        parts = self.split_special.split(text) if self.split_special and any(map(text.__contains__, self.special)) else [text]
         lookup, out = self.words.__getitem__, []
         for part in parts:
             if part in self.special:
@@ -175,7 +181,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """
     with open(path, encoding="utf-8") as file:
         source = file.read()
-    if json.loads(source).get("decoder") is not None:
+    if re.search(r'"decoder"\s*+:\s*+(?!null)', source):
         raise ValueError("only tokenizer files without a decoder are supported")
     key = hashlib.sha256(source.encode()).hexdigest()
 
