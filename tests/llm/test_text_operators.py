@@ -1,5 +1,7 @@
+import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -162,20 +164,69 @@ def test_likeness():
     assert fingerprint.likeness("3:a:b", "48:a:b") == 0 and fingerprint.fingerprint(None) == fingerprint.fingerprint("")
 
 
+def plain_signature(data, block):
+    """Byte by byte: a chunk ends where the window's hash meets the block; after 63 chunks the rest is one."""
+    hashes, out, chunk = plain_rolling(data), [], b""
+    for byte, h in zip(data, hashes, strict=True):
+        chunk += bytes([byte])
+        if h % block == block - 1 and len(out) < 63:
+            out.append(chunk)
+            chunk = b""
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    return "".join(symbols[zlib.crc32(c) >> 7 & 63] for c in [*out, *([chunk] if chunk else [])])
+
+
+def plain_fingerprint(text):
+    data = (text or "").encode()
+    block = next(3 << k for k in range(40) if (3 << k) * 64 >= len(data))
+    while len(plain_signature(data, block)) < 32 and block > 3:
+        block //= 2
+    return f"{block}:{plain_signature(data, block)}:{plain_signature(data, 2 * block)}"
+
+
+def plain_likeness(a, b):
+    """The best of the signatures made at a common block size, if they are equal or have four symbols in a row in common."""
+    best = 0.0
+    for (x, s), (y, t) in itertools.product(*([(int(m.split(":")[0]) * f, m.split(":")[f]) for f in (1, 2)] for m in (a, b))):
+        if x == y:
+            run = min(4, len(s), len(t))
+            common = run and any(s[k : k + run] in t for k in range(len(s) - run + 1))
+            best = max(best, 1.0 if s == t else 1 - plain_distance(s, t) / max(len(s), len(t)) if common else 0.0)
+    return 1.0 if a == b else best
+
+
+def test_fingerprints_are_those_of_a_plain_version():
+    rng = random.Random(12)
+    marks = []
+    for n in [0, 1, 5, 60, 191, 192, 193, 700, 3000]:
+        for _ in range(4):
+            text = "".join(rng.choices("abcdé \n", k=n))
+            marks.append(fingerprint.fingerprint(text))
+            assert marks[-1] == plain_fingerprint(text)
+            marks.append(fingerprint.fingerprint(text[: n // 2] + text))
+    for a, b in zip(marks, marks[1:], strict=False):
+        assert fingerprint.likeness(a, b) == pytest.approx(plain_likeness(a, b))
+
+
+def spark_hash(text):
+    return int.from_bytes(xxhash.xxh64_digest((text or "").encode(), 42), "big", signed=True)
+
+
 @pytest.mark.parametrize("per_range", [1, 4, 1000])
 def test_following_documents(spark, rows, per_range):
+    """Against a plain version; of rows alike in id and text very many, which go to ranges of their own."""
     rng = random.Random(9)
     table = [(k, "".join(rng.choices("aé b\n", k=rng.randrange(0, 90)))) for k in rng.sample(range(-50, 50), 37)]
-    table += [(table[0][0], "same id"), (None, "none"), (None, None)]
+    table += [(table[0][0], "same id"), (None, "none"), (None, None), *[(None, "a copy without an id")] * 23, *[(table[5][0], "a copy")] * 19]
     df = spark.createDataFrame(table, "doc_id long, text string").repartition(5)
-    order = sorted(table, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.sha256((r[1] or "").encode()).digest()[:8]))
+    order = sorted(table, key=lambda r: (r[0] is None, -(r[0] or 0), spark_hash(r[1])))
     wanted = []
     for (doc_id, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
         text, after = text or "", after or ""
         half = len(text) // 2
         changed = text[: len(text) - half] + after[:half]
-        a, b, c = map(fingerprint.fingerprint, (text, changed, after))
-        wanted.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), a, b, fingerprint.likeness(a, b), fingerprint.likeness(a, c)))
+        a, b, c = map(plain_fingerprint, (text, changed, after))
+        wanted.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), a, b, plain_likeness(a, b), plain_likeness(a, c)))
     found = [tuple(r.values()) for r in rows(fingerprint.follow_and_compare(df, rows_per_range=per_range))]
     assert sorted(map(str, found)) == sorted(map(str, wanted))
 
@@ -334,6 +385,36 @@ def test_png_filters_of_all_kinds():
             media.read_png(bad)
 
 
+def test_cosine_hash_is_that_of_a_plain_transform():
+    """Cosines summed one by one over means of blocks, medians by sorting."""
+    rng = np.random.default_rng(3)
+    for height in (32, 64, 96):
+        samples = rng.integers(0, 256, (height, 64, 3), dtype=np.uint8)
+        step = height // 32
+        small = [[float(np.mean([samples[y * step + i, 2 * x + j].astype(float).mean() for i in range(step) for j in range(2)])) for x in range(32)] for y in range(32)]
+        mean = sum(map(sum, small)) / 1024
+        low = [sum((small[y][x] - mean) * math.cos(math.pi * (2 * y + 1) * u / 64) * math.cos(math.pi * (2 * x + 1) * v / 64) for y in range(32) for x in range(32)) for u in range(8) for v in range(8)]
+        median = sorted(low[1:])[31]
+        bits = "".join("1" if k and f > median + 1e-6 else "0" for k, f in enumerate(low))
+        assert media.cosine_hash(samples) == f"{int(bits, 2):016x}"
+
+
+def test_damaged_images_have_a_problem(spark, rows):
+    good = media.as_png(media.payload_of("some text " * 2000)[0])
+    bad = [good[:-20], good[:60] + b"x" + good[61:], b"no image", b"", good[:8] + b"\xff" * 30]
+    df = spark.createDataFrame([(k, 1, x) for k, x in enumerate([good, *bad, None])], "doc_id long, n_bytes long, media binary")
+    found = sorted(rows(media.media_features(df)), key=lambda r: r["doc_id"])
+    assert found[0]["problem"] is None and found[0]["feature"] and all(r["problem"] and r["feature"] is None and r["media_sha256"] for r in found[1:-1])
+    assert all(found[-1][c] is None for c in ("problem", "media_bytes", "feature"))
+
+
+def test_long_images_are_written_in_slabs(monkeypatch):
+    payload = media.payload_of("abc déf " * 3000)[0]
+    whole = media.as_png(payload)
+    monkeypatch.setattr(media, "SLAB", 7)
+    assert media.read_png(media.as_png(payload)).tobytes() == media.read_png(whole).tobytes() == payload
+
+
 def test_media_query(docs, rows):
     df = docs([(1, None, "", ""), (2, "", "", ""), (3, "é" * 96, "", ""), (4, "é" * 96 + "x", "", ""), (5, "long " * 9000, "", ""), (6, "long " * 9000, "", "")])
     found = {r["doc_id"]: r for r in rows(media.media_features(media.media_column(df)))}
@@ -370,7 +451,7 @@ def test_secret_scan(docs, rows):
             value = texts[r["doc_id"]][r["start"] : r["start"] + r["n_chars"]]
             assert hashlib.sha256(value.encode()).hexdigest() == r["value_sha256"] and 0 <= r["score"] <= 1
     kinds = sorted((r["doc_id"], r["is_secret"]) for r in found)
-    assert kinds == [(1, True), (2, False), (3, True), (4, False), (4, True), (7, True), (7, True), (7, True), (7, True)]
+    assert kinds == [(1, True), (2, False), (3, True), (4, False), (4, True), (5, False), (7, True), (7, True), (7, True), (7, True)]
     out = secret_scan.redact(docs(table))
     assert out.columns == docs(table).columns and out.schema["n_chars"] == docs(table).schema["n_chars"]
     after = rows(out)
@@ -392,7 +473,34 @@ def test_forest_expression_is_the_forest(spark, rows):
     scored = model.transform(VectorAssembler(inputCols=list(secret_scan.FEATURES), outputCol="features").transform(x)).select("label", F.col("probability"), secret_scan.forest_score(secret_scan.forest_nodes(model), F.col("x")).alias("own"))
     found = scored.collect()
     assert all(abs(r.probability[1] - r.own) < 1e-9 for r in found)
-    assert sum((r.own >= 0.5) == bool(r.label) for r in found) >= 0.97 * len(found)
+    assert sum((r.own >= 0.5) == bool(r.label) for r in found) >= 0.9 * len(found)  # what it has learned from; held-out findings are below
+
+
+def test_forest_on_held_out_findings(spark, rows):
+    """Findings of numbers that it hasn't learned from; the label follows from how a value was made, so some can't be told."""
+    trees = secret_scan.default_forest(spark)
+    x = secret_scan.labelled_findings(spark, 3000, first=50_000).withColumn("x", secret_scan.features(F.col("value"), F.col("before"), F.col("after"), F.col("path")))
+    judged = [(r["label"] > 0, r["score"] >= 0.5) for r in rows(x.select("label", secret_scan.forest_score(trees, F.col("x")).alias("score")))]
+    right = sum(a and b for a, b in judged)
+    precision, recall = right / sum(b for _, b in judged), right / sum(a for a, _ in judged)
+    print("precision", precision, "recall", recall)
+    assert precision >= 0.85 and recall >= 0.85
+
+
+def test_candidates_of_all_kinds(docs, rows):
+    """Long runs of letters before a digit or without one, passwords in addresses; prose and rules aren't candidates."""
+    texts = [
+        "the key " + "kqzXvWpRtLmN" * 6 + "7" + "abc" * 5 + " end",
+        "see kqzXvWpRtLmNbVcXzQwErTyUiOpAsDfG there",
+        "at postgres://admin:hunter2horse@db.example:5432/x",
+        "plain words and nothing else, https://example.org/a/b and 12345",
+        "=" * 40 + " " + "-" * 40 + " " + "_" * 40,
+    ]
+    found = collections.Counter(r["doc_id"] for r in rows(secret_scan.scan(docs([(k, t, "en", "src") for k, t in enumerate(texts)]))))
+    assert found == {0: 1, 1: 1, 2: 1}
+    (one,) = [r for r in rows(secret_scan.scan(docs([(2, texts[2], "en", "src")])))]
+    assert (one["start"], one["n_chars"]) == (texts[2].index("hunter2horse"), len("hunter2horse"))
+    assert rows(secret_scan.redact(docs([(2, 'x password = "hunter2horse!" y', "en", "src")])))[0]["text"] == 'x password = "[REDACTED]" y'
 
 
 def test_path_alone_moves_a_score(docs, rows):
