@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with licence templates.
 
-A template is a set of words. A text is cut into overlapping blocks of words. A pair (block, template) is a
+A template is a set of words: a phrase, a notice or the whole text of a licence. A text is cut into overlapping blocks of
+words, twice as long as the templates they are for, in classes of lengths that double. A pair (block, template) is a
 result if the block holds at least the template's threshold of the template's words (containment). Words
 outside all templates cannot add to an overlap, so both sides are first reduced to the templates' vocabulary.
 Both sides are then ordered by one global order, the words' document frequency over the whole corpus, rarest
@@ -47,9 +48,51 @@ NOTICES = (
     ("creative commons zero public domain dedication", "cc0", 0.8),
 )
 
+# Whole texts of licences, their labels, and the share of their different words that a block must hold.
+TEXTS = (
+    (
+        "mit", 0.9,
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction "
+        "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
+        "subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+        "arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    (
+        "bsd", 0.9,
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed "
+        "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to "
+        "procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability "
+        "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    ),
+    (
+        "isc", 0.9,
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness "
+        "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+        "whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    ),
+    (
+        "apache-2", 0.9,
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 "
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+    ),
+    (
+        "unlicense", 0.9,
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software "
+        "either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
+)
+
 #: Bytes of words lower-cased, all others to a space: letters and digits of ASCII, and all bytes of other characters.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-#: A block has 2 * STRIDE words and one starts at every STRIDE words, so each run of up to STRIDE + 1 words lies in the block of its first word.
+#: The least stride of blocks.
 STRIDE = 32
 
 
@@ -68,13 +111,22 @@ class Template:
     def needed(self) -> int:
         return max(1, math.ceil(self.threshold * len(set(self.words)) - 1e-9))
 
+    @property
+    def stride(self) -> int:
+        """The blocks for it start at every so many words and have twice as many: STRIDE, doubled until the template fits.
+
+        Each run of up to stride + 1 words lies in the block of its first word.
+        """
+        return STRIDE << max(0, (len(self.words) - 1).bit_length() - STRIDE.bit_length() + 1)
+
 
-def templates(phrases=BASE_PHRASES, notices=NOTICES) -> list[Template]:
-    """Base phrases need all their words, a notice its own share of them. None may be longer than STRIDE words."""
+def templates(phrases=BASE_PHRASES, notices=NOTICES, texts=TEXTS) -> list[Template]:
+    """Base phrases need all their words, a notice or a whole text its own share of them; of any length, but none is empty."""
     out = [Template(tuple(p.encode().split()), label, 1.0, True) for p, label in phrases]
     out += [Template(tuple(p.encode().split()), label, share, False) for p, label, share in notices]
-    if any(not 0 < len(t.words) <= STRIDE for t in out):
-        raise ValueError(f"a template has 1 to {STRIDE} words")
+    out += [Template(tuple(p.encode().split()), label, share, False) for label, share, p in texts]
+    if any(not t.words for t in out):
+        raise ValueError("a template has a word at least")
     return out
 
 
@@ -99,18 +151,19 @@ class Index:
         self.rank = {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
         self.items = items
         self.sorted = [sorted(self.rank[w] for w in set(t.words)) for t in items]
-        self.probe: dict[int, list[tuple[int, int]]] = {}
+        self.probes: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for k, (t, ranks) in enumerate(zip(items, self.sorted, strict=True)):
             for i, r in enumerate(ranks[: len(ranks) - t.needed + 1]):
-                self.probe.setdefault(r, []).append((k, i))
+                self.probes.setdefault(t.stride, {}).setdefault(r, []).append((k, i))
         by_rank = {r: w for w, r in self.rank.items()}
-        self.prefix_words = frozenset(by_rank[r] for r in self.probe)
+        self.any_prefix_word = frozenset(by_rank[r] for probe in self.probes.values() for r in probe)
+        self.prefix_words = {stride: frozenset(by_rank[r] for r in probe) for stride, probe in self.probes.items()}
 
-    def join(self, block: list[int]) -> list[tuple[int, int]]:
-        """(template, overlap) of all templates whose containment in a block, sorted ranks, meets the threshold."""
-        out, seen, members = [], set(), set(block)
+    def join(self, block: list[int], stride: int = STRIDE) -> list[tuple[int, int]]:
+        """(template, overlap) of all templates of a stride whose containment in a block, sorted ranks, meets the threshold."""
+        out, seen, members, probe = [], set(), set(block), self.probes.get(stride, {})
         for j, r in enumerate(block):
-            for k, i in self.probe.get(r, ()):
+            for k, i in probe.get(r, ()):
                 if k in seen:
                     continue
                 need, ranks = self.items[k].needed, self.sorted[k]
@@ -126,25 +179,26 @@ class Index:
 
     def scan(self, words: list[bytes]) -> list[tuple[int, int, float, list[int]]]:
         """(template, first word of the block, containment, starts of the words in a row) of every result in a text."""
-        if self.prefix_words.isdisjoint(words):
+        if self.any_prefix_word.isdisjoint(words):
             return []
-        rank = self.rank
+        strides = [stride for stride, first in self.prefix_words.items() if not first.isdisjoint(words)]
+        rank, out = self.rank, []
         hits = [(p, rank[w]) for p, w in enumerate(words) if w in rank]
-        blocks: dict[int, set[int]] = {}
-        for p, r in hits:
-            b = p // STRIDE
-            blocks.setdefault(b, set()).add(r)
-            if b:
-                blocks.setdefault(b - 1, set()).add(r)
-        out = []
-        for b in sorted(blocks):
-            for k, overlap in self.join(sorted(blocks[b])):
-                t, starts = self.items[k], []
-                if t.exact:
-                    n = len(t.words)
-                    first = t.words[0]
-                    starts = [p for p in range(b * STRIDE, min((b + 1) * STRIDE, len(words) - n + 1)) if words[p] == first and tuple(words[p : p + n]) == t.words]
-                out.append((k, b * STRIDE, overlap / len(self.sorted[k]), starts))
+        for stride in strides:
+            blocks: dict[int, set[int]] = {}
+            for p, r in hits:
+                b = p // stride
+                blocks.setdefault(b, set()).add(r)
+                if b:
+                    blocks.setdefault(b - 1, set()).add(r)
+            for b in sorted(blocks):
+                for k, overlap in self.join(sorted(blocks[b]), stride):
+                    t, starts = self.items[k], []
+                    if t.exact:
+                        n = len(t.words)
+                        first = t.words[0]
+                        starts = [p for p in range(b * stride, min((b + 1) * stride, len(words) - n + 1)) if words[p] == first and tuple(words[p : p + n]) == t.words]
+                    out.append((k, b * stride, overlap / len(self.sorted[k]), starts))
         return out
 
 

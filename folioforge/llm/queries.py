@@ -110,14 +110,15 @@ SELECT doc_id, domain, lang, source, n_tokens, epoch FROM (
 
 
 def _license_sql() -> str:
-    """Words as lists; phrases compared in a row at every place, notices with the words of every block."""
+    """Words as lists; phrases compared in a row at every place, notices and whole texts with the different words of every block."""
     listed = lambda phrase: "[" + ", ".join(f"'{w}'" for w in phrase.split()) + "]"
-    size, stride = 2 * license_scan.STRIDE, license_scan.STRIDE
+    own = [t for t in license_scan.templates() if not t.exact]
+    words = lambda t: "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(x.decode() for x in t.words)) + "]"
     starts = ", ".join(f"list_filter(range(1, len(ws) - {len(p.split()) - 2}), lambda i: ws[i] = '{p.split()[0]}' AND ws[i:i + {len(p.split()) - 1}] = {listed(p)}) AS s{k}" for k, (p, _) in enumerate(license_scan.BASE_PHRASES))
-    held = ", ".join(f"coalesce(list_max(list_transform(range(0, len(ws), {stride}), lambda b: len(list_intersect(list_distinct(ws[b + 1:b + {size}]), {listed(p)})))), 0) / {len(set(p.split()))}.0::DOUBLE AS h{k}" for k, (p, _, _) in enumerate(license_scan.NOTICES))
+    held = ", ".join(f"coalesce(list_max(list_transform(range(0, len(ws), {t.stride}), lambda b: len(list_intersect(list_distinct(ws[b + 1:b + {2 * t.stride}]), {words(t)})))), 0) / {len(set(t.words))}.0::DOUBLE AS h{k}" for k, t in enumerate(own))
     base = ", ".join(f"CASE WHEN len(s{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(license_scan.BASE_PHRASES))
-    more = ", ".join(f"CASE WHEN h{k} >= {share} - 1e-9 THEN '{label}' END" for k, (_, label, share) in enumerate(license_scan.NOTICES))
-    scores = ", ".join([*(f"CASE WHEN len(s{k}) > 0 THEN 1.0 ELSE 0 END" for k in range(len(license_scan.BASE_PHRASES))), *(f"CASE WHEN h{k} >= {share} - 1e-9 THEN h{k} ELSE 0 END" for k, (_, _, share) in enumerate(license_scan.NOTICES))])
+    more = ", ".join(f"CASE WHEN h{k} >= {share} - 1e-9 THEN '{label}' END" for k, (label, share) in enumerate((t.label, t.threshold) for t in own))
+    scores = ", ".join([*(f"CASE WHEN len(s{k}) > 0 THEN 1.0 ELSE 0 END" for k in range(len(license_scan.BASE_PHRASES))), *(f"CASE WHEN h{k} >= {share} - 1e-9 THEN h{k} ELSE 0 END" for k, share in enumerate(t.threshold for t in own))])
     all_ = "flatten([" + ", ".join(f"s{k}" for k in range(len(license_scan.BASE_PHRASES))) + "])"
     joined = lambda labels: f"coalesce(array_to_string(list_sort(list_distinct(list_filter([{labels}], lambda x: x IS NOT NULL))), ','), '')"
     return f"""
