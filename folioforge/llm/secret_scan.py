@@ -122,7 +122,7 @@ def labelled_findings(spark: SparkSession, rows: int = 8000, first: int = 0) ->
         F.substring(number, 1, 16),
         F.concat_ws("_", word("a"), word("b"), word("c"), F.substring(number, 1, 3)),
         F.concat_ws("-", F.substring(hexed, 1, 8), F.substring(hexed, 9, 4), F.substring(hexed, 13, 4), F.substring(hexed, 17, 4), F.substring(hexed, 21, 12)),
-        F.concat(*[F.initcap(word(x)) for x in "abcdef"]),
+        one_of("g", F.concat(*[F.initcap(word(x)) for x in "abcdef"]), F.concat(*[word(x) for x in "abcdefg"]), F.initcap(F.concat(*[word(x) for x in "abcdefg"]))),
         F.concat_ws("/", word("a"), word("b"), word("c"), word("d"), F.substring(number, 1, 2)),
         one_of("d", "changeme", "your_password_here", "example_value", "placeholder123", "none_needed", "test_user_name", "insert-token-here"),
         F.concat(F.lit("AKIA"), F.substring(F.upper(F.concat(word("a"), word("b"), word("c"), word("d"), F.lit("EXAMPLEEXAMPLE"))), 1, 16)),

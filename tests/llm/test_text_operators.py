@@ -20,8 +20,14 @@ from folioforge.llm import bpe, fingerprint, language_id, license_scan, media, s
 def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     found = [(k, label) for phrase, label in license_scan.BASE_PHRASES for k in range(len(words)) if words[k : k + len(phrase.split())] == phrase.split()]
-    blocks = [set(words[k : k + 2 * license_scan.STRIDE]) for k in range(0, max(1, len(words)), license_scan.STRIDE)]
-    more = {label for phrase, label, share in license_scan.NOTICES for b in blocks if len(b & set(phrase.split())) >= share * len(set(phrase.split())) - 1e-9}
+    more = set()
+    for phrase, label, share in [*license_scan.NOTICES, *((t, label, share) for label, share, t in license_scan.TEXTS)]:
+        own, stride = phrase.split(), 32
+        while stride < len(own):
+            stride *= 2
+        blocks = [set(words[k : k + 2 * stride]) for k in range(0, max(1, len(words)), stride)]
+        if any(len(b & set(own)) >= share * len(set(own)) - 1e-9 for b in blocks):
+            more.add(label)
     at, base = [k for k, _ in found], {label for _, label in found}
     return {"n_words": len(words), "n_base": len(found), "first_word": min(at, default=None), "last_word": max(at, default=None), "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | more))}
 
@@ -33,6 +39,12 @@ def license_texts():
     for phrase, *_ in (*license_scan.BASE_PHRASES, *license_scan.NOTICES):
         for gap in (0, 30, 61, 64, 100):
             texts.append(" ".join(["Lorem"] * gap) + " " + phrase.title() + ". ipsum")
+    for _, _, text in license_scan.TEXTS:
+        words = text.split()
+        for gap in (0, 100, 500):
+            texts.append("Lorem " * gap + text.capitalize() + ". ipsum " * 300)
+            changed = [w if rng.random() < rng.choice([0.85, 0.9, 0.98]) else "lorem" for w in words]
+            texts.append("Ipsum " * gap + " ".join(changed))
     return [None, "", "under the mit licenseé", "UNDER THE MIT-LICENSE under_the_mit_license"] + texts
 
 
@@ -52,7 +64,10 @@ def test_license_edges(docs, rows, spark):
     assert len(rows(license_scan.license_scan(docs()))) == 7
     assert rows(license_scan.license_scan(docs([]))) == [] and rows(license_scan.license_blocks(docs([]))) == []
     with pytest.raises(ValueError):
-        license_scan.templates([(" ".join(["w"] * 40), "long")])
+        license_scan.templates([("", "none")])
+    long = " ".join(f"w{k}" for k in range(1000))
+    found = rows(license_scan.license_scan(docs([(1, "x " * 700 + long, "en", "s"), (2, long[:-6], "en", "s")]), license_scan.templates([(long, "long")])))
+    assert {r["doc_id"]: (r["n_base"], r["first_word"], r["labels"]) for r in found} == {1: (1, 700, "long"), 2: (0, None, "")}
 
 
 # --- BPE ----------------------------------------------------------------------------------------------------------------
