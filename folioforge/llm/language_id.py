@@ -174,7 +174,7 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Documents are drawn by a hash of id and text, so that rows without an id, or with a common one, are drawn like others.
     The executors cut to per_language, after rows that repeat another are left out.
     """
-    labelled = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    labelled = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out(id_col).alias("held_out")).where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return None

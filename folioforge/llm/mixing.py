@@ -29,8 +29,10 @@ MAX_BROADCAST_LEAVES = 10_000
 _LEVELS = ("domain", "lang", "source")
 
 
-def domain_of(source: Column) -> Column:
-    """The domain of a source, from the first digit of the MD5 of its name."""
+def domain_of(source: Column, domains: Mapping[str, str] | None = None) -> Column:
+    """The domain of a source: that of a map by name, if one is given; else by rule, from the first digit of the MD5 of its name."""
+    if domains:
+        return F.coalesce(F.create_map(*[F.lit(x) for pair in sorted(domains.items()) for x in pair])[source], F.lit("other"))
     digit = F.substring(F.md5(F.coalesce(source, F.lit(""))), 1, 1)
     return F.when(digit < "4", "web").when(digit < "8", "books").when(digit < "c", "code").otherwise("forum")
 
@@ -58,7 +60,8 @@ def share(nodes: DataFrame, parents: list[str], order: list[str]) -> DataFrame:
     """Split `given` among the nodes of a parent by `weight`, no node above its `capacity`: adds `budget`.
 
     In the order of capacity per weight, a node is full if all before it are and its own capacity is within its share
-    of what they leave; the others share the rest by weight, rounded down. All columns are whole numbers.
+    of what they leave; the others share the rest by weight, rounded down. All columns are whole numbers. So a parent hands
+    on less than a token a child too little, which stays unused: budgets add up to the total but for a token a node at most.
     """
     ratio = (F.col("capacity") / F.col("weight")).cast("decimal(38,12)")
     ranked = nodes.withColumn("ratio", ratio)
@@ -96,10 +99,10 @@ def leaf_budgets(leaves: DataFrame, total: int, epochs: int, weights: tuple[Mapp
     return budgets.select(*_LEVELS, F.col("budget").cast("long").alias("budget"), (F.col("capacity") / epochs).cast("long").alias("supply"))
 
 
-def select_prefixes(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", bucket_digits: int = 2):
+def select_prefixes(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", bucket_digits: int = 2, domains: Mapping[str, str] | None = None):
     """(narrow rows, leaf table): what mix() and keep_mixed() apply. budget_share is the budget as a part of all tokens."""
     text, source = F.col(f"`{text_col}`").cast("string"), F.col(f"`{source_col}`").cast("string")
-    rows = durable(docs.select(keyed(id_col, text_col).alias("key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), domain_of(source).alias("domain"), F.col(f"`{lang_col}`").cast("string").alias("lang"), source.alias("source"), count_tokens(text).alias("n_tokens")))
+    rows = durable(docs.select(keyed(id_col, text_col).alias("key"), F.col(f"`{id_col}`").cast("long").alias("doc_id"), domain_of(source, domains).alias("domain"), F.col(f"`{lang_col}`").cast("string").alias("lang"), source.alias("source"), count_tokens(text).alias("n_tokens")))
     leaves = durable(rows.groupBy(*_LEVELS).agg(F.sum("n_tokens").cast("decimal(38,0)").alias("supply")))
     n, supply = leaves.agg(F.count("*"), F.coalesce(F.sum("supply"), F.lit(0))).first()
     budgets = durable(
@@ -136,24 +139,24 @@ def _epochs_of(seed: int, key: Column) -> Column:
     return F.concat(F.when(F.col("full") > 0, F.expr("sequence(0L, full - 1)")).otherwise(F.array().cast("array<long>")), F.when(taken, F.array(F.col("full").cast("long"))).otherwise(F.array().cast("array<long>")))
 
 
-def mix(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, budget_share: tuple[int, int] = (3, 4), epochs: int = 2, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", domains: Mapping[str, str] | None = None) -> DataFrame:
     """One row for each document and epoch that it is taken in: doc_id, domain, lang, source, n_tokens, epoch.
 
     Null languages and sources are leaves of their own. A text without a word takes no budget: it is taken with the
     prefix its place lies in. Repeated rows lie at one place and are taken or left together. Other columns are not read.
     """
-    rows, table, with_leaf = select_prefixes(docs, budget_share, epochs, seed, id_col, text_col, lang_col, source_col)
+    rows, table, with_leaf = select_prefixes(docs, budget_share, epochs, seed, id_col, text_col, lang_col, source_col, domains=domains)
     taken = with_leaf(rows.withColumn("leaf", F.struct(*_LEVELS)), table)
     return taken.select("doc_id", *_LEVELS, "n_tokens", F.explode(_epochs_of(seed, F.col("key"))).alias("epoch"))
 
 
-def keep_mixed(docs: DataFrame, budget_share: tuple[int, int] = (9, 10), seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+def keep_mixed(docs: DataFrame, budget_share: tuple[int, int] = (9, 10), seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", domains: Mapping[str, str] | None = None) -> DataFrame:
     """The rows of docs, all columns as they are, that one epoch takes."""
-    _, table, _ = select_prefixes(docs, budget_share, 1, seed, id_col, text_col, lang_col, source_col)
+    _, table, _ = select_prefixes(docs, budget_share, 1, seed, id_col, text_col, lang_col, source_col, domains=domains)
     full, last, key, d, l, s = fresh(docs, "full", "last_place", "row_key", "leaf_domain", "leaf_lang", "leaf_source")
     flat = table.select(F.col("leaf.domain").alias(d), F.col("leaf.lang").alias(l), F.col("leaf.source").alias(s), F.col("full").alias(full), F.col("last_place").alias(last))
     source = F.col(f"`{source_col}`").cast("string")
-    same = (domain_of(source) == F.col(d)) & F.col(f"`{lang_col}`").cast("string").eqNullSafe(F.col(l)) & source.eqNullSafe(F.col(s))
+    same = (domain_of(source, domains) == F.col(d)) & F.col(f"`{lang_col}`").cast("string").eqNullSafe(F.col(l)) & source.eqNullSafe(F.col(s))
     joined = docs.withColumn(key, keyed(id_col, text_col)).join(F.broadcast(flat) if flat.count() <= MAX_BROADCAST_LEAVES else flat, same)
     taken = (F.col(full) > 0) | (seeded(seed, F.col(full), F.col(key)) <= F.col(last))
     return joined.where(taken).select(*[f"`{c}`" for c in docs.columns])

@@ -250,6 +250,12 @@ def test_mixing_without_broadcast(docs, rows, monkeypatch):
     assert sorted(map(str, rows(mixing.mix(df)))) == sorted(map(str, small)) and small
 
 
+def test_domains_from_a_map(docs, rows):
+    found = rows(mixing.mix(docs(), domains={"src1": "web", "src2": "books"}))
+    assert {(r["source"], r["domain"]) for r in found} <= {("src1", "web"), ("src2", "books"), (None, "other")} and found
+    assert mixing.keep_mixed(docs(), domains={"src1": "web"}).columns == docs().columns
+
+
 def test_mixing_edges(docs, rows):
     df = docs()
     kept = mixing.keep_mixed(df, (1, 1))
