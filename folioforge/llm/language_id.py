@@ -61,7 +61,7 @@ def features(text: str) -> np.ndarray:
 
 def train_svm(positive: np.ndarray, negative: np.ndarray, c: float = 10.0, rounds: int = 12) -> np.ndarray:
     """Weights of a linear support vector machine with hinge loss, by dual coordinate descent in a fixed order."""
-    x = np.concatenate([positive, negative]).astype(np.float32)
+    x = np.concatenate([positive, negative]).astype(np.float32, copy=False)
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     costs = np.where(y > 0, c * len(y) / (2 * max(len(positive), 1)), c * len(y) / (2 * max(len(negative), 1)))
     w, alpha, norms = np.zeros(x.shape[1], np.float32), np.zeros(len(y)), np.einsum("ij,ij->i", x, x) + 1e-12
@@ -158,7 +158,7 @@ def least_margin(samples: dict[str, np.ndarray]) -> float:
     if sum(len(tried) for _, tried in apart.values()) < LEAST_CALIBRATION:
         return -np.inf
     model = Model.of({lang: learned for lang, (learned, _) in apart.items()})
-    margins = sorted(model.margin(x) for _, tried in apart.values() for x in tried)
+    margins = sorted(model.margin(x.astype(np.float32)) for _, tried in apart.values() for x in tried)
     found = margins[len(margins) // 100]
     return float(min(found, found * LOOSENESS)) if np.isfinite(found) else -np.inf
 
@@ -203,7 +203,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if drawn is None:
         return Model(None, {})
     rows = sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, bytes(r.x)))
-    samples = {lang: np.array([np.frombuffer(r.x, np.float16) for r in group], np.float32) for lang, group in itertools.groupby(rows, key=lambda r: r.lang)}
+    # Half floats, of which two classes at a time are made single ones.
+    samples = {lang: np.array([np.frombuffer(r.x, np.float16) for r in group]) for lang, group in itertools.groupby(rows, key=lambda r: r.lang)}
+    del rows
     if not samples:
         return Model(None, {})
     model = Model.of(samples)
