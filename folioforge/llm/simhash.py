@@ -7,8 +7,7 @@ linked lie within Manhattan distance 2 of each other on two of the three groups.
 grid point within 1 of both: each fingerprint is entered, for every two groups, in the unit cells within 1 of it, cells
 are equi-joined, and the join's condition counts the differing bits exactly. Copies share a fingerprint and are one point.
 
-Cells are first counted, which is met by partial aggregation. A cell of one point is left out, one of two points is a
-pair already. A cell that very many different fingerprints share (a large group of near copies) would be joined with the
+Cells are first counted, which is met by partial aggregation. A cell of one point is left out. A cell that very many different fingerprints share (a large group of near copies) would be joined with the
 square of its size. Its fingerprints take another exact way: two fingerprints differ in at most 4 bits just if some
 64-bit value differs from both in at most 2, so each is linked with the smallest fingerprint of every such value, in
 linear time.
@@ -117,9 +116,7 @@ def links(points: DataFrame, hot_cell: int = 200) -> DataFrame:
     spark = points.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), points.count() * ENTRIES_A_POINT // ENTRIES_A_PARTITION + 1)
     cells = _cells(points.repartition(n))
-    counted = durable(cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
-    twos = counted.where("n = 2").select("a", "b").where(_near(F.col("a"), F.col("b")))
-    shared = durable(cells.join(counted.where("n > 2").select("cell", "n"), "cell"))
+    shared = durable(cells.join(cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"), "cell"))
     small = shared.where(F.col("n") <= hot_cell).select("cell", "fp")
     a, b = small.select("cell", F.col("fp").alias("a")), small.select("cell", F.col("fp").alias("b"))
     pairs = a.join(b, "cell").where("a < b").where(_near(F.col("a"), F.col("b"))).select("a", "b")
@@ -129,7 +126,7 @@ def links(points: DataFrame, hot_cell: int = 200) -> DataFrame:
     balls = hot.select("fp", F.explode(F.expr("sequence(0, 64)")).alias("i"), flips.alias("flips")).select("fp", F.explode(F.expr("transform(sequence(i, 64), j -> if(i = j and i > 0, fp ^ flips[i], fp ^ flips[i] ^ flips[j]))")).alias("value"))
     least = balls.groupBy("value").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("value", "a")
     stars = _join_split(balls, least, "value").where("a < fp").select("a", F.col("fp").alias("b"))
-    return twos.unionByName(pairs).unionByName(stars).distinct()
+    return pairs.unionByName(stars).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
