@@ -31,7 +31,16 @@ def _seed(store: state.Store, args) -> None:
         return
     if args.limit_sourceids or store.read("journals").limit(1).count():
         raise SystemExit("only an empty store is seeded, and whole; use --dry-run to try a part")
-    store.publish(made)
+    canonical.require_invariants(made)
+    rows = canonical.conflict_rows(conflicts, made["scimago_records"].select("sourceid", "journal_id").distinct())
+    store.publish(made | {"identifier_conflicts": rows})
+
+
+def _repair(store: state.Store, args) -> None:
+    changed = canonical.repaired_tables(store, F.current_timestamp())
+    if changed:
+        store.publish(changed)
+    print(f"tables changed: {len(changed)}")
 
 
 def _resolve(store: state.Store, args) -> None:
@@ -64,6 +73,11 @@ def _check(store: state.Store, args) -> None:
         for name in schemas.TABLES:
             part = schemas.violations(r(name), name).withColumn("table", F.lit(name))
             report = part if report is None else report.unionByName(part)
+    elif args.kind == "conflicts":
+        listed = delimited.read_conflict_csv(store.spark, args.conflicts).select("identifier", "journal_ids") if args.conflicts else r("identifier_conflicts").select("identifier", "journal_ids")
+        report = checks.open_conflicts(listed, r("entity_match_candidates"))
+    elif args.kind == "failures":
+        report = r("resolution_failures")
     elif args.kind == "drift":
         titles = r("journals").select(F.col("id").alias("journal_id"), "normalized_title")
         report = checks.match_drift(checks.drift_sample(r("entity_match_candidates"), review.display_names(store)), titles)
@@ -101,10 +115,12 @@ def parser() -> argparse.ArgumentParser:
 
     command("ingest", _ingest, source={"choices": sorted(schemas.SOURCE_IDS)}, path={})
     command("seed", _seed, limit_sourceids={"flag": True, "type": int, "default": 0}, dry_run={"flag": True, "action": "store_true"})
+    command("repair", _repair)
+    command("vacuum", lambda store, args: print(f"folders removed: {store.vacuum()}"))
     command("resolve", _resolve, source={"nargs": "?", "choices": resolve.ORDER})
     command("export-review", lambda store, args: print(f"rows: {review.export_pending(store, args.path)}"), path={})
     command("apply-review", _apply, path={}, reviewer={"flag": True, "required": True}, stale_report={"flag": True})
-    command("check", _check, kind={"choices": ["history", "duplicates", "drift", "dangling", "lineage", "coverage"]}, out={})
+    command("check", _check, kind={"choices": ["history", "duplicates", "drift", "dangling", "lineage", "coverage", "conflicts", "failures"]}, out={}, conflicts={"flag": True})
     command("reset", lambda store, args: print(f"version {ingest.reset_dataset(store, args.dataset, args.table)}"), dataset={"type": int}, table={"choices": sorted(schemas.RECORD_TABLES.values())})
     command("sql", _sql, query={}, rows={"flag": True, "type": int, "default": 100})
     return out

@@ -16,11 +16,12 @@ def merge_methods(old: Column, new: Column) -> Column:
 
 def fold(evidence: DataFrame, key=KEY, order: str = "seq") -> DataFrame:
     """One row a key from several pieces of evidence: the largest similarity, any true flag, methods merged in order, the best rank."""
+    # First by method, so that a key's list is no longer than there are methods; a method that comes again changes nothing.
+    values = [F.max("similarity").alias("similarity"), F.max(F.coalesce("issn_match", F.lit(False))).alias("issn_match"), F.max(F.coalesce("publisher_match", F.lit(False))).alias("publisher_match"), F.min("rank_among_candidates").alias("rank_among_candidates")]
+    each = evidence.groupBy(*key, "match_method").agg(F.min(order).alias(order), *values)
     methods = F.transform(F.array_sort(F.collect_list(F.struct(order, "match_method"))), lambda x: x["match_method"])
     merged = F.aggregate(methods, F.lit(None).cast("string"), merge_methods)
-    return evidence.groupBy(*key).agg(
-        F.max("similarity").alias("similarity"), F.max(F.coalesce("issn_match", F.lit(False))).alias("issn_match"), F.max(F.coalesce("publisher_match", F.lit(False))).alias("publisher_match"), merged.alias("match_method"), F.min("rank_among_candidates").alias("rank_among_candidates")
-    )
+    return each.groupBy(*key).agg(*values[:3], merged.alias("match_method"), values[3])
 
 
 def upsert(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -94,6 +94,45 @@ def repair(records: DataFrame, journals: DataFrame, identifiers: DataFrame, now:
     return seed(affected, journals.agg(F.max("id")).first()[0] or 0, identifiers, now)
 
 
+def conflict_rows(conflicts: DataFrame, ids: DataFrame) -> DataFrame:
+    """identifier_conflicts of a seed: each claimed identifier with its owner's journal and those of the source ids that claimed it too.
+
+    conflicts as of seed(); ids has sourceid and journal_id.
+    """
+    claims = conflicts.select(F.col("normalized_value").alias("identifier"), "sourceid").unionByName(conflicts.where("owner is not null").select(F.col("normalized_value").alias("identifier"), F.col("owner").alias("sourceid")))
+    found = claims.distinct().join(ids, "sourceid").groupBy("identifier").agg(F.array_sort(F.collect_set("journal_id")).alias("journal_ids"))
+    return schemas.conform(found.withColumns({"source_id": F.lit(schemas.SOURCE_IDS["SCIMAGO"]), "source_record_table": F.lit(TABLE)}), "identifier_conflicts")
+
+
+def require_invariants(tables: dict[str, DataFrame]) -> None:
+    """An error that names what a seed's or a repair's tables break, if they break anything."""
+    found = invariants(*(tables[t] for t in (TABLE, "journals", "journal_identifiers", "journal_source_mapping", "entity_match_decisions"))).where("violations > 0")
+    if bad := found.collect():
+        raise ValueError(f"after the change: {[(r.invariant, r.violations) for r in bad]}")
+
+
+def repaired_tables(store, now: Column | None = None) -> dict[str, DataFrame]:
+    """All of the tables that a repair changes, old rows and new ones, after the invariants are tested; empty if nothing has collided.
+
+    The affected records get journals of their own; their mappings and decisions are replaced, other rows stay.
+    """
+    old = {name: store.read(name) for name in (TABLE, "journals", "journal_identifiers", "journal_aliases", "journal_source_mapping", "entity_match_decisions")}
+    if collided_source_ids(old[TABLE], old["journal_identifiers"]).isEmpty():
+        return {}
+    made = repair(old[TABLE], old["journals"], old["journal_identifiers"], now)
+    made.pop("conflicts")
+    made = {name: state.durable(df) for name, df in made.items()}
+    ids = made[TABLE].select("id")
+    refs = ids.select(F.lit(TABLE).alias("source_record_table"), F.col("id").alias("source_record_id"))
+    out = {TABLE: old[TABLE].join(ids, "id", "left_anti").unionByName(made[TABLE])}
+    for name in ("journal_source_mapping", "entity_match_decisions"):
+        out[name] = old[name].join(refs, ["source_record_table", "source_record_id"], "left_anti").unionByName(made[name])
+    for name in ("journals", "journal_identifiers", "journal_aliases"):
+        out[name] = old[name].unionByName(made[name])
+    require_invariants(out)
+    return out
+
+
 def invariants(records: DataFrame, journals: DataFrame, identifiers: DataFrame, mapping: DataFrame, decisions: DataFrame) -> DataFrame:
     """(invariant, violations) that hold after a seed or a repair."""
     own = identifiers.where("identifier_type = 'SCIMAGO_SOURCE_ID'")

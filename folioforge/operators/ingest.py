@@ -79,7 +79,7 @@ def load_file(store: state.Store, source: str, path: str, now: datetime.datetime
     try:
         tables = import_tables(store, source, path, dataset_id, fact, now)
         n = tables.pop("_count")
-        store.publish(tables | {"datasets": marked("loaded", n)})
+        store.publish({"datasets": marked("loaded", n)}, append=tables)
     except Exception:
         store.publish({"datasets": marked("failed", None)})
         raise
@@ -87,7 +87,7 @@ def load_file(store: state.Store, source: str, path: str, now: datetime.datetime
 
 
 def import_tables(store: state.Store, source: str, path: str, dataset_id: int, fact, now: datetime.datetime) -> dict:
-    """The tables that loading a file changes, with the number of its records as _count."""
+    """The rows that loading a file adds, by table, with the number of its records as _count."""
     spark = store.spark
     top = lambda name: store.read(name).agg(F.max("id")).first()[0] or 0
     raw_file_id = top("raw_files") + 1
@@ -103,18 +103,16 @@ def import_tables(store: state.Store, source: str, path: str, dataset_id: int, f
     order = ["_row_number", *[k for k in RECORD_KEYS[source] if k.endswith("year")]]
     numbered = state.next_ids(valid.join(raw_ids.select("_row_number", F.col("id").alias("raw_row_id")), "_row_number"), order, top(table)).withColumn("dataset_id", F.lit(dataset_id).cast("long")).withColumn("imported_at", F.lit(now)).persist()
     out = {
-        "raw_files": store.read("raw_files").unionByName(spark.createDataFrame([(raw_file_id, dataset_id, fact.file_path, fact.sha256, fact.file_size, PARSER_VERSION, now)], schemas.TABLES["raw_files"].schema)),
-        "raw_rows": store.read("raw_rows").unionByName(raw_rows),
-        table: store.read(table).unionByName(schemas.conform(numbered, table)),
-        "ingestion_rejections": store.read("ingestion_rejections").unionByName(
-            schemas.conform(state.next_ids(rejected, ["row_number", "reason"], top("ingestion_rejections")).withColumns({"dataset_id": F.lit(dataset_id), "raw_file_id": F.lit(raw_file_id), "created_at": F.lit(now)}), "ingestion_rejections")
-        ),
+        "raw_files": spark.createDataFrame([(raw_file_id, dataset_id, fact.file_path, fact.sha256, fact.file_size, PARSER_VERSION, now)], schemas.TABLES["raw_files"].schema),
+        "raw_rows": raw_rows,
+        table: numbered,
+        "ingestion_rejections": state.next_ids(rejected, ["row_number", "reason"], top("ingestion_rejections")).withColumns({"dataset_id": F.lit(dataset_id), "raw_file_id": F.lit(raw_file_id), "created_at": F.lit(now)}),
     }
     if source == "SCIMAGO":
         categories = numbered.select(F.col("id").alias("scimago_record_id"), F.posexplode("categories").alias("pos", "c")).select("scimago_record_id", "pos", "c.category_name", "c.quartile")
         areas = numbered.select(F.col("id").alias("scimago_record_id"), F.posexplode("areas").alias("pos", "area_name"))
         for name, child in (("scimago_categories", categories), ("scimago_areas", areas)):
-            out[name] = store.read(name).unionByName(schemas.conform(state.next_ids(child, ["scimago_record_id", "pos"], top(name)), name))
+            out[name] = state.next_ids(child, ["scimago_record_id", "pos"], top(name))
     return out | {"_count": numbered.count()}
 
 

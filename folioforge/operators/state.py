@@ -75,7 +75,7 @@ def require_unique(df: DataFrame, key: Iterable[str], what: str) -> DataFrame:
 
 
 class Store:
-    """Tables below a folder: versions/<n>/<table> and manifests/<n>.json."""
+    """Tables below a folder: versions/<n>/<table> and manifests/<n>.json, which names the parts of every table."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -91,27 +91,52 @@ class Store:
             return 0
         return max([0, *(int(s.getPath().getName()[:-5]) for s in self.fs.listStatus(folder) if s.getPath().getName().endswith(".json"))])
 
-    def manifest(self, version: int | None = None) -> dict[str, int]:
+    def manifest(self, version: int | None = None) -> dict[str, list[int]]:
+        """The versions whose parts make up each table."""
         version = self.version() if version is None else version
         if not version:
             return {}
         return json.loads(self.spark.read.text(self._path("manifests", f"{version}.json").toString(), wholetext=True).first()[0])
 
+    def vacuum(self) -> int:
+        """Delete folders that the newest version doesn't name, and older manifests; how many folders went. Nobody may be reading them."""
+        named = {(str(v), name) for name, versions in self.manifest().items() for v in versions}
+        gone, newest = 0, self.version()
+        for version in self.fs.listStatus(self._path("versions")) if self.fs.exists(self._path("versions")) else []:
+            for table in self.fs.listStatus(version.getPath()):
+                if (version.getPath().getName(), table.getPath().getName()) not in named:
+                    gone += bool(self.fs.delete(table.getPath(), True))
+        for k in range(1, newest):
+            self.fs.delete(self._path("manifests", f"{k}.json"), True)
+        return gone
+
     def read(self, name: str) -> DataFrame:
         if name not in schemas.TABLES:
             raise ValueError(f"unknown table {name!r}")
-        at = self.manifest().get(name)
-        return schemas.empty(self.spark, name) if at is None else self.spark.read.schema(schemas.TABLES[name].schema).parquet(self._path("versions", str(at), name).toString())
+        return self._parts(name, self.manifest().get(name, []))
+
+    def _parts(self, name: str, versions: list[int]) -> DataFrame:
+        if not versions:
+            return schemas.empty(self.spark, name)
+        return self.spark.read.schema(schemas.TABLES[name].schema).parquet(*[self._path("versions", str(v), name).toString() for v in versions])
 
-    def publish(self, tables: dict[str, DataFrame], check: bool = True) -> int:
-        """Write tables as one new version; an unsound table keeps all of it from being seen."""
+    def publish(self, tables: dict[str, DataFrame], check: bool = True, append: dict[str, DataFrame] | None = None) -> int:
+        """Write tables whole, and new rows of those in append, as one new version; an unsound table keeps all of it from being seen.
+
+        Appended rows are a part of their own beside the older ones, which aren't written again; they are checked by
+        themselves, and their keys against those of the older rows.
+        """
         new, manifest = self.version() + 1, self.manifest()
-        for name, df in tables.items():
+        for name, df in [*tables.items(), *(append or {}).items()]:
             place = self._path("versions", str(new), name).toString()
             schemas.conform(df, name).write.mode("overwrite").parquet(place)
-            if check and (bad := schemas.violations(self.spark.read.schema(schemas.TABLES[name].schema).parquet(place), name).limit(3).collect()):
+            part, old = self._parts(name, [new]), [] if name in tables else manifest.get(name, [])
+            bad = schemas.violations(part, name).limit(3).collect() if check else []
+            for key in schemas.TABLES[name].keys if check and old else ():
+                bad += self._parts(name, old).select(*key).join(part.select(*key), list(key), "left_semi").limit(3).collect()
+            if bad:
                 raise ValueError(f"{name} breaks its constraints: {[r.asDict() for r in bad]}")
-            manifest[name] = new
+            manifest[name] = [*old, new]
         out = self.fs.create(self._path("manifests", f".{new}.tmp"), True)
         out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
         out.close()
@@ -120,6 +145,16 @@ class Store:
         return new
 
 
+class Frames:
+    """Tables held as DataFrames, to read from as from a Store; those that aren't given are empty."""
+
+    def __init__(self, spark: SparkSession, **tables: DataFrame):
+        self.spark, self.tables = spark, {name: schemas.conform(df, name) for name, df in tables.items()}
+
+    def read(self, name: str) -> DataFrame:
+        return self.tables[name] if name in self.tables else schemas.empty(self.spark, name)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """A small report as one CSV file with a header."""
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)

@@ -1,8 +1,7 @@
 """Queries over the supplied tables, one or more for each operator, with the same as SQL for DuckDB.
 
 The journal sources aren't among these tables, so each operator works on columns of the same shape: names for titles,
-orders for yearly observations, parts for records. Every query looks at whole tables, but what id_conflicts, id_lookup
-and exact_title_match look up is a subset of the parts by id, in the query and in its SQL.
+orders for yearly observations, parts for records. Every query looks at whole tables.
 """
 
 from __future__ import annotations
@@ -181,8 +180,10 @@ def token_sort(spark, sf_dir):
 
 @_query("SELECT o_orderkey, kind, value FROM (SELECT o_orderkey, unnest([{'kind': 'AJG2018', 'value': o_orderpriority}, {'kind': 'AJG2021', 'value': nullif(o_orderstatus, 'P')}], recursive := true) FROM orders) WHERE value IS NOT NULL")
 def wide_to_long(spark, sf_dir):
-    wide = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("AJG2018"), F.when(F.col("o_orderstatus") == "P", " ").otherwise(F.col("o_orderstatus")).alias("AJG2021"))
-    return wide.unpivot(["o_orderkey"], ["AJG2018", "AJG2021"], "kind", "value").withColumn("value", S.or_null(S.clean_whitespace("value"))).where("value is not null")
+    from ..operators.transforms import unpivot_abs
+
+    wide = _t(spark, sf_dir, "orders").select(F.lit("f").alias("_file"), F.col("o_orderkey").alias("_row_number"), F.col("o_orderpriority").alias("AJG2018"), F.when(F.col("o_orderstatus") == "P", " ").otherwise(F.col("o_orderstatus")).alias("AJG2021"))
+    return unpivot_abs(wide).select(F.col("_row_number").alias("o_orderkey"), F.concat(F.lit("AJG"), "rating_year").alias("kind"), F.col("rating").alias("value"))
 
 
 @_query(
@@ -273,30 +274,6 @@ def title_variants(spark, sf_dir):
     return canonical.title_variants(parts, chosen, "p_brand", "p_name").select("p_brand", F.explode("variants").alias("variant"))
 
 
-@_query("SELECT p_brand, list_aggregate(list_transform(list_sort(list({'a': first, 's': p_size})), lambda x: x.s::VARCHAR), 'string_agg', ',') AS sizes FROM (SELECT p_brand, p_size, min(p_partkey) AS first FROM part GROUP BY ALL) GROUP BY p_brand")
-def ordered_distinct(spark, sf_dir):
-    firsts = _t(spark, sf_dir, "part").groupBy("p_brand", "p_size").agg(F.min("p_partkey").alias("first"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("first", "p_size"))), lambda x: x["p_size"].cast("string"))
-    return firsts.groupBy("p_brand").agg(F.array_join(ordered, ",").alias("sizes"))
-
-
-@_query(
-    "WITH claims AS (SELECT DISTINCT p_brand, p_name || '/' || p_size AS v FROM part), ranked AS (SELECT *, row_number() OVER (PARTITION BY v ORDER BY p_brand) AS n, first(p_brand) OVER (PARTITION BY v ORDER BY p_brand) AS owner FROM claims) SELECT p_brand, v, owner, n = 1 AS owns FROM ranked"
-)
-def identifier_owners(spark, sf_dir):
-    claims = _t(spark, sf_dir, "part").select("p_brand", F.concat_ws("/", "p_name", "p_size").alias("v")).distinct()
-    owner = Window.partitionBy("v").orderBy("p_brand")
-    return claims.select("p_brand", "v", F.first("p_brand").over(owner).alias("owner"), (F.row_number().over(owner) == 1).alias("owns"))
-
-
-@_query("SELECT source, count(*)::BIGINT AS raw_rows, count(DISTINCT sha256(coalesce(text, '')))::BIGINT AS distinct_rows, count(*) FILTER (WHERE n_chars < 100)::BIGINT AS rejections, CASE WHEN count(*) = count(DISTINCT sha256(coalesce(text, ''))) THEN 'PASS' ELSE 'FAIL' END AS status FROM documents GROUP BY source")
-def lineage_reconcile(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").select("source", "n_chars", F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash"))
-    one = docs.groupBy("source", "hash").agg(F.count("*").alias("n"), F.count(F.when(F.col("n_chars") < 100, 1)).alias("bad"))
-    out = one.groupBy("source").agg(F.sum("n").alias("raw_rows"), F.count("*").alias("distinct_rows"), F.sum("bad").alias("rejections"))
-    return out.withColumn("status", F.when(F.col("raw_rows") == F.col("distinct_rows"), "PASS").otherwise("FAIL"))
-
-
 @_query(
     "SELECT source, count(*)::BIGINT AS total, count(*) FILTER (WHERE decision IN ('accepted', 'manually_confirmed'))::BIGINT AS accepted, count(*) FILTER (WHERE decision = 'new_journal')::BIGINT AS new_journal, count(*) FILTER (WHERE decision = 'rejected_no_match')::BIGINT AS rejected_no_match, count(*) FILTER (WHERE decision IS NULL)::BIGINT AS pending, true AS adds_up "
     "FROM documents LEFT JOIN (SELECT doc_id, CASE WHEN toxic = 1 THEN 'rejected_no_match' WHEN quality = 1 THEN 'accepted' WHEN doc_id % 2 = 0 THEN 'manually_confirmed' ELSE 'new_journal' END AS decision FROM labels) USING (doc_id) GROUP BY source"
@@ -322,44 +299,31 @@ def dangling_refs(spark, sf_dir):
     return checks.dangling(parts.unionByName(others), tables, None)
 
 
-_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "labels")
-
-
-@_query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t})::BIGINT AS row_count, (SELECT string_agg(column_name, ',' ORDER BY column_index) FROM duckdb_columns() WHERE table_name = '{t}') AS columns" for t in _TABLES))
-def inventory_profile(spark, sf_dir):
-    out = None
-    for name in _TABLES:
-        df = _t(spark, sf_dir, name)
-        part = df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count", F.lit(",".join(df.columns)).alias("columns"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 # --- joins and resolution -----------------------------------------------------------------------------------------------
 
 
-@_query(f"WITH dim AS (SELECT {_key('p_name')} AS k, min(p_partkey) AS journal_id FROM part WHERE p_partkey % 3 = 0 GROUP BY 1) SELECT p_partkey AS id, journal_id FROM part JOIN dim ON k = {_key('upper(p_name)')}")
+@_query(f"WITH dim AS (SELECT {_key("p_name || ' ' || p_size")} AS k, min(p_partkey) AS journal_id FROM part GROUP BY 1) SELECT p_partkey AS id, journal_id FROM part JOIN dim ON k = {_key("upper(p_name) || ' ' || (p_size + 1)")}")
 def exact_title_match(spark, sf_dir):
     parts = _t(spark, sf_dir, "part")
-    dim = parts.where("p_partkey % 3 = 0").groupBy(S.matching_title("p_name").alias("normalized_title")).agg(F.min("p_partkey").alias("journal_id"))
-    return resolve.by_title(parts.select(F.col("p_partkey").alias("id"), S.matching_title(F.upper("p_name")).alias("key")), dim)
+    dim = parts.groupBy(S.matching_title(F.concat_ws(" ", "p_name", "p_size")).alias("normalized_title")).agg(F.min("p_partkey").alias("journal_id"))
+    return resolve.by_title(parts.select(F.col("p_partkey").alias("id"), S.matching_title(F.concat_ws(" ", F.upper("p_name"), F.col("p_size") + 1)).alias("key")), dim)
 
 
 @_query(
-    "WITH dim AS (SELECT DISTINCT p_brand || '/' || p_size AS v, p_partkey AS j FROM part WHERE p_partkey % 5 = 0), hits AS (SELECT p_partkey AS id, v, count(DISTINCT j) AS n, min(j) AS j FROM part JOIN dim ON v IN (p_brand || '/' || p_size, p_brand || '/' || (p_size + 1)) GROUP BY ALL) "
+    "WITH dim AS (SELECT DISTINCT p_brand || '/' || p_size || '/' || p_type AS v, p_partkey AS j FROM part), hits AS (SELECT p_partkey AS id, v, count(DISTINCT j) AS n, min(j) AS j FROM part JOIN dim ON v IN (p_brand || '/' || p_size || '/' || p_type, p_brand || '/' || (p_size + 1) || '/' || p_type) GROUP BY ALL) "
     "SELECT id, min(j) AS journal_id FROM hits WHERE n = 1 GROUP BY id HAVING count(DISTINCT j) = 1"
 )
 def id_lookup(spark, sf_dir):
     parts = _t(spark, sf_dir, "part")
-    dim = parts.where("p_partkey % 5 = 0").select(F.concat_ws("/", "p_brand", "p_size").alias("normalized_value"), F.col("p_partkey").alias("journal_id"))
-    records = parts.select(F.col("p_partkey").alias("id"), F.array(F.concat_ws("/", "p_brand", "p_size"), F.concat_ws("/", "p_brand", F.col("p_size") + 1)).alias("issns"))
+    dim = parts.select(F.concat_ws("/", "p_brand", "p_size", "p_type").alias("normalized_value"), F.col("p_partkey").alias("journal_id"))
+    records = parts.select(F.col("p_partkey").alias("id"), F.array(F.concat_ws("/", "p_brand", "p_size", "p_type"), F.concat_ws("/", "p_brand", F.col("p_size") + 1, "p_type")).alias("issns"))
     return resolve.by_identifier(records, dim)[0]
 
 
-@_query("SELECT v AS identifier, journal_ids FROM (SELECT p_brand || '/' || p_size AS v, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS journal_ids, count(*) AS n FROM part WHERE p_partkey % 5 = 0 GROUP BY 1) WHERE n > 1")
+@_query("SELECT v AS identifier, journal_ids FROM (SELECT p_brand || '/' || p_size AS v, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS journal_ids, count(*) AS n FROM part GROUP BY 1) WHERE n > 1")
 def id_conflicts(spark, sf_dir):
     parts = _t(spark, sf_dir, "part")
-    dim = parts.where("p_partkey % 5 = 0").select(F.concat_ws("/", "p_brand", "p_size").alias("normalized_value"), F.col("p_partkey").alias("journal_id"))
+    dim = parts.select(F.concat_ws("/", "p_brand", "p_size").alias("normalized_value"), F.col("p_partkey").alias("journal_id"))
     found = resolve.by_identifier(parts.select(F.col("p_partkey").alias("id"), F.array(F.concat_ws("/", "p_brand", "p_size")).alias("issns")), dim)[1]
     return found.select("identifier", F.array_join(F.col("journal_ids").cast("array<string>"), ",").alias("journal_ids"))
 
@@ -530,3 +494,6 @@ def review_rows(spark, sf_dir):
     )
     checked = review.check_rows(rows)
     return checked.select(F.col("event_id").alias("candidate_id"), F.array_join("problems", ",").alias("problems"))
+
+
+from . import demo_flow  # noqa: E402, F401  its queries register themselves

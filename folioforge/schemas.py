@@ -69,6 +69,8 @@ TABLES: dict[str, Table] = {
         f"id long, {_REFERENCE}, candidate_journal_id long, similarity decimal(5,4), issn_match boolean, publisher_match boolean, match_method string, rank_among_candidates short, review_status string, reviewed_by string, reviewed_at timestamp, created_at timestamp",
         (("id",), (*_REFERENCE_KEY, "candidate_journal_id")), {"review_status": REVIEW_STATUSES},
     ),
+    "identifier_conflicts": Table("identifier string, journal_ids array<long>, source_id int, source_record_table string", (("identifier", "source_record_table"),), required=("identifier",)),
+    "resolution_failures": Table(f"{_REFERENCE}, reason string, created_at timestamp", (_REFERENCE_KEY,), required=("reason",)),
     "entity_match_decisions": Table(f"id long, {_REFERENCE}, journal_id long, match_method string, confidence decimal(5,4), decision string, reviewed_by string, reviewed_at timestamp", (_REFERENCE_KEY,), {"decision": DECISIONS}),
 }
 
