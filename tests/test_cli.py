@@ -12,6 +12,11 @@ def test_commands(spark, tmp_path, capsys):
     main([store, "seed", "--dry-run"])
     main([store, "check", "lineage", str(tmp_path / "lineage")])
     main([store, "check", "dangling", str(tmp_path / "dangling")])
+    main([store, "repair"])
+    main([store, "check", "conflicts", str(tmp_path / "conflicts")])
+    main([store, "check", "failures", str(tmp_path / "failures")])
+    (tmp_path / "old.csv").write_text("identifier,journal_ids,message\n03785955,1;2,\n")
+    main([store, "check", "conflicts", str(tmp_path / "conflicts"), "--conflicts", str(tmp_path / "old.csv")])
     main([store, "sql", "select count(*) as n from ft50_records"])
     said = capsys.readouterr().out
     assert "loaded" in said and "skipped" in said and "journals: 0" in said and "|2  |" in said

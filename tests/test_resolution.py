@@ -158,3 +158,43 @@ def test_ids_and_updates(spark):
     assert sorted(map(tuple, state.update_by_key(old, new, ["k"], ["v"], F.lit(9), "t").collect())) == [(1, "a", 0), (2, None, 9)]
     with pytest.raises(ValueError):
         state.require_unique(spark.createDataFrame([(1,), (1,)], "k int"), ["k"], "twice")
+
+
+@pytest.mark.parametrize("source", resolve.ORDER)
+def test_records_without_a_usable_title_stay_open(spark, source):
+    """They make no journal and are listed; the others of their source are resolved."""
+    name = resolve.COLUMNS[source][0]
+    records = spark.createDataFrame([(1, "..."), (2, "Alpha Review"), (3, "!!"), (4, None), (5, "alpha review")], f"id long, {name} string")
+    table = schemas.RECORD_TABLES[source]
+    changed = resolve.resolve_source(state.Frames(spark, **{table: records}), source)
+    assert [(r.id, r.normalized_title) for r in changed["journals"].collect()] == [(1, "alpha review")]
+    assert {r.id: r.journal_id for r in changed[table].collect()} == {1: None, 2: 1, 3: None, 4: None, 5: 1}
+    assert {(r.source_record_id, r.reason) for r in changed["resolution_failures"].collect()} == {(k, "no_usable_title") for k in (1, 3, 4)}
+    assert changed["entity_match_decisions"].count() == 2
+
+
+def test_conflicts_are_kept(spark):
+    records = spark.createDataFrame([(1, "Alpha", "0378-5955")], "id long, journal_name string, issn string")
+    ids = spark.createDataFrame([(1, "ISSN", "03785955"), (2, "EISSN", "03785955")], "journal_id long, identifier_type string, normalized_value string")
+    changed = resolve.resolve_source(state.Frames(spark, abdc_records=records, journal_identifiers=ids, journals=spark.createDataFrame([(1, "x", "xx"), (2, "y", "yy")], "id long, canonical_title string, normalized_title string")), "ABDC")
+    assert [(r.identifier, r.journal_ids, r.source_record_table) for r in changed["identifier_conflicts"].collect()] == [("03785955", [1, 2], "abdc_records")]
+    seeded = canonical.seed(scimago(spark, [(1, "10", 2018, "A", "One", "03178471", None), (2, "20", 2018, "A", "Two", "03178471", None)]))
+    rows = canonical.conflict_rows(seeded["conflicts"], seeded["scimago_records"].select("sourceid", "journal_id").distinct())
+    assert [(r.identifier, r.journal_ids) for r in rows.collect()] == [("03178471", [1, 2])]
+
+
+def test_appended_rows_are_a_part_of_their_own(spark, tmp_path):
+    """The older rows' files aren't written again; keys are checked against them; vacuum removes what no version names."""
+    store = state.Store(spark, str(tmp_path / "store"))
+    row = lambda k, n=1: spark.createDataFrame([(k, n, "r")], "id long, raw_file_id long, raw_data string").withColumn("row_number", F.col("id"))
+    store.publish({"raw_rows": row(1)})
+    first = {p: p.stat().st_mtime_ns for p in (tmp_path / "store/versions/1").rglob("*.parquet")}
+    store.publish({}, append={"raw_rows": row(2)})
+    assert sorted(r.id for r in store.read("raw_rows").collect()) == [1, 2]
+    assert first == {p: p.stat().st_mtime_ns for p in (tmp_path / "store/versions/1").rglob("*.parquet")}
+    assert spark.read.parquet(str(tmp_path / "store/versions/2/raw_rows")).count() == 1
+    with pytest.raises(ValueError, match="constraints"):
+        store.publish({}, append={"raw_rows": row(1)})
+    assert store.version() == 2
+    store.publish({"raw_rows": store.read("raw_rows")})
+    assert store.vacuum() == 2 and sorted(r.id for r in store.read("raw_rows").collect()) == [1, 2] and store.manifest() == {"raw_rows": [3]}
