@@ -93,8 +93,9 @@ class Bpe:
         self.beyond = re.compile(f"[^\\x00-{chr(PLAIN_END - 1)}]")
         self.words = _Words(self._word)
         self.library = None
-        self.text_of = {i: t for i, t in self.token_of.items()}
         self.digits_of = {i: str(i) for i in self.token_of}
+        # One object an id: the words' ids would else be new ones, which take more room than the words.
+        self.same = {i: i for i in self.token_of}
 
     def _cuts(self) -> tuple[bytes, bytes]:
         """At 256 * first + second byte, 1 for pairs that no token has inside, and for pairs that no token has as its end."""
@@ -124,7 +125,7 @@ class Bpe:
         out: list[int] = []
         for part, ends in self.fragments_of(data):
             model = self.model if ends else self.model_inside
-            out += [t.id for t in model.tokenize(part.decode("latin-1").translate(self.symbols))]
+            out += [self.same[t.id] for t in model.tokenize(part.decode("latin-1").translate(self.symbols))]
         return tuple(out)
 
     def _words_of(self, text: str) -> list[str]:
@@ -151,7 +152,7 @@ class Bpe:
 
     def decode(self, ids: list[int]) -> str:
         """The tokens of the ids, joined by a space, as the library does for a file without a decoder."""
-        return " ".join(map(self.text_of.__getitem__, ids))
+        return " ".join(map(self.token_of.__getitem__, ids))
 
     def digits(self, ids: list[int]) -> str:
         return " ".join(map(self.digits_of.__getitem__, ids))
