@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -25,6 +27,13 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
+def give_back() -> None:
+    """Hand freed memory to the system: a worker is kept for later tasks and stages, and what it holds counts with its executor."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply a function of one Arrow batch to every batch of df, without a shuffle."""
     bound_batches(df.sparkSession)
@@ -33,6 +42,7 @@ def map_arrow(df: DataFrame, per_batch: Callable[[pa.RecordBatch], pa.RecordBatc
         for batch in batches:
             if batch.num_rows and (out := per_batch(batch)) is not None:
                 yield out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
