@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, language_id, license_scan, media, mixing, secret_scan, sharding, simhash, url_filter
+from . import bpe, centroids, fingerprint, language_id, lexical, license_scan, line_dedup, media, mixing, secret_scan, sharding, simhash, url_filter
 from .common import table
 
 
@@ -51,6 +52,19 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(media.media_column(table(spark, sf_dir, "documents")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"), "most_docs")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -58,7 +72,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_license_scan, op2_mixing, op3_bpe, op4_fingerprints, op5_sharding, op6_secret_scan, op7_language_id, op8_simhash, op9_url_filter, op10_media, pipeline)
+    named = (op1_license_scan, op2_mixing, op3_bpe, op4_fingerprints, op5_sharding, op6_secret_scan, op7_language_id, op8_simhash, op9_url_filter, op10_media, op11_line_dedup, op12_centroids, op13_lexical_search, pipeline)
     return {f.__name__: f for f in named}
 
 
@@ -143,5 +157,55 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN {own} THEN 'block' ELSE 'allow' END) AS verdict FROM parts LEFT JOIN fits USING (page_id)"""
 
 
+def _line_sql() -> str:
+    """Lines one a row, keys counted by document."""
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+each AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+keyed AS MATERIALIZED (SELECT *, translate(trim(line, {space}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM each),
+common AS (SELECT k, count(DISTINCT r) AS n FROM keyed WHERE length(k) >= {line_dedup.MIN_CHARS} GROUP BY k HAVING count(DISTINCT r) >= {line_dedup.MIN_DOCS})
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256, most_docs FROM (
+  SELECT r, doc_id, count(*)::BIGINT AS n_lines, count(n)::BIGINT AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE n IS NULL), '') AS kept, max(n)::BIGINT AS most_docs
+  FROM keyed LEFT JOIN common USING (k) GROUP BY r, doc_id)"""
+
+
+def _centroid_sql() -> str:
+    """Components one a row; every round written out."""
+    c = centroids
+    rounds = [
+        f"""
+c0 AS MATERIALIZED (SELECT n, p, x FROM v JOIN (SELECT r, row_number() OVER (ORDER BY sha256('{c.SEED}:' || vec_id)) - 1 AS n FROM kept QUALIFY n < {c.CLUSTERS}) USING (r))"""
+    ]
+    for i in range(c.ROUNDS + 1):
+        rounds.append(f"""
+a{i} AS MATERIALIZED (SELECT r, arg_min(n, (d, n)) AS n, min(d) AS d FROM (SELECT r, c.n, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM v JOIN c{i} c USING (p) GROUP BY r, c.n) GROUP BY r)""")
+        if i < c.ROUNDS:
+            rounds.append(f"""
+c{i + 1} AS MATERIALIZED (SELECT o.n, o.p, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN (SELECT n, p, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS x FROM v JOIN a{i} USING (r) GROUP BY n, p) m USING (n, p))""")
+    return f"""
+WITH rows_ AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+kept AS MATERIALIZED (SELECT r, vec_id, embedding FROM rows_ WHERE len(embedding) = {c.DIMENSIONS} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {c.DIMENSIONS}),
+v AS MATERIALIZED (SELECT r, unnest(range({c.DIMENSIONS})) AS p, floor({c.SCALE} * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept),{",".join(rounds)},
+s AS (SELECT n, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS centroid_sha256 FROM c{c.ROUNDS} GROUP BY n),
+t AS (SELECT n, sum(d)::BIGINT AS cluster_inertia FROM a{c.ROUNDS} GROUP BY n)
+SELECT vec_id, n::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(cluster_inertia) FROM t)::BIGINT AS inertia, centroid_sha256 FROM a{c.ROUNDS} JOIN kept USING (r) JOIN s USING (n) JOIN t USING (n)"""
+
+
+def _lexical_sql() -> str:
+    """Terms one a row; every item's terms joined with all documents that hold them."""
+    x = lexical
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{x.TERM}')"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {terms} AS ts FROM documents),
+total AS (SELECT count(*)::BIGINT AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+m AS (SELECT r, doc_id, {x.BASE} + (({x.SHARE} * len(ts)::BIGINT * n) // l) AS m FROM d, total WHERE len(ts) > 0),
+tf AS MATERIALIZED (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, n),
+asked AS (SELECT q, item_id, unnest(ts) AS term FROM (SELECT row_number() OVER () AS q, item_id, {terms} AS ts FROM benchmark)),
+scored AS (SELECT q, item_id, doc_id, r, sum(w * (({x.IMPACT} * tf) // (1000 * tf + {x.FACTOR} * m)))::BIGINT AS score FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= {x.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_scan": _license_sql(), "op2_mixing": _mixing_sql(), "op9_url_filter": _url_sql()}
+    return {"op1_license_scan": _license_sql(), "op2_mixing": _mixing_sql(), "op9_url_filter": _url_sql(), "op11_line_dedup": _line_sql(), "op12_centroids": _centroid_sql(), "op13_lexical_search": _lexical_sql()}
