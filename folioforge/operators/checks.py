@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import scalars as S
+from ..functions import similarity as sim
 from . import resolve
 
+# Fixed values of the checks.
 SAMPLE, DROP = 500, 0.050
 ONE_TO_MANY = {"SCIMAGO": False, "ABDC": False, "ABS": True, "REPEC": False, "FT50": False}
 
@@ -36,17 +38,33 @@ def ordered_sample(rows: DataFrame, keys: list[str], n: int = SAMPLE) -> DataFra
     return rows.orderBy(*keys).limit(n)
 
 
+def drift_evidence(accepted: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(own, beaten): (key, journal_id, own) the score of each accepted pair of one block; (key, journal_id) of those that another title beats.
+
+    The accepted pair is scored first; what could beat it has its score at least. For a pair that is still alike that is a
+    similarity join, so that a frequent block isn't scored whole; only pairs that have fallen below its
+    threshold, and titles shorter than a block, are held against all titles that begin alike.
+    """
+    others = titles.select(F.col("journal_id"), F.col("normalized_title").alias("other")).where("other <> ''")
+    pairs = accepted.select("key", "journal_id").where("key <> ''").distinct().join(others, "journal_id").where(F.startswith("other", sim.title_block_of("key")))
+    pairs = pairs.withColumns({"a": sim.token_sort("key"), "b": sim.token_sort("other")}).withColumn("lcs", sim.lcs_length("a", "b"))
+    own = pairs.select("key", "journal_id", sim.similarity(F.col("lcs"), F.col("a"), F.col("b")).alias("own"))
+    alike = (F.col("own") >= resolve.CANDIDATE / 1000) & (F.length("key") >= 4)
+    near = resolve.similar_titles(own.where(alike), others).unionByName(resolve.prefix_titles(own.where(~alike), others))
+    rivals = own.join(near, "key").where("score >= own").join(others.withColumnRenamed("journal_id", "_rival"), "other")
+    return own, rivals.where((F.col("score") > F.col("own")) | (F.col("_rival") < F.col("journal_id"))).select("key", "journal_id").distinct()
+
+
 def match_drift(accepted: DataFrame, titles: DataFrame, drop: float = DROP) -> DataFrame:
     """Accepted matches whose score, made anew against all journals, fell by `drop` or more, or now names another journal.
 
     accepted: source_record_table, source_record_id, journal_id, accepted_score decimal(5,4), accepted_at, key.
     titles: journal_id, normalized_title.
     """
-    pairs = resolve.prefix_titles(accepted, titles.select(F.col("normalized_title").alias("other")))
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "journal_id"))
-    best = pairs.join(titles.withColumnRenamed("normalized_title", "other"), "other").withColumn("_place", place).where("_place = 1").select("key", F.col("journal_id").alias("_best"), S.rounded("score", 4).alias("recomputed_score"))
-    joined = accepted.join(best, "key", "left")
-    same = F.coalesce(F.col("_best") == F.col("journal_id"), F.lit(False))
+    own, beaten = drift_evidence(accepted, titles)
+    joined = accepted.join(own, ["key", "journal_id"], "left").join(beaten.withColumn("_beaten", F.lit(True)), ["key", "journal_id"], "left")
+    joined = joined.withColumn("recomputed_score", S.rounded("own", 4))
+    same = F.col("own").isNotNull() & F.col("_beaten").isNull()
     fell = F.col("accepted_score") - F.col("recomputed_score")
     reason = F.when(~same, "not_recomputable").when(fell >= drop, "score_drop")
     return joined.withColumns({"recomputed_score": F.when(same, F.col("recomputed_score")), "score_drop": F.when(same, fell), "reason": reason}).where("reason is not null").select("source_record_table", "source_record_id", "journal_id", "accepted_score", "recomputed_score", "score_drop", "accepted_at", "reason")

@@ -350,6 +350,53 @@ def fuzzy_block_match(spark, sf_dir):
     return ranked.where("n <= 5").select("key", "other", F.col("score").cast("decimal(18,10)").alias("score"), "n")
 
 
+#: The first words of a document as a title, and as that of a record whose last letter differs.
+_DOC_TITLES = "named AS (SELECT doc_id, n_chars, lower(array_to_string(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+')[1:6], ' ')) AS t FROM documents)"
+_SORTED = "array_to_string(list_sort(string_split({}, ' ')), ' ')"
+
+
+def _doc_titles(spark, sf_dir):
+    words = F.slice(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[A-Za-z]+"), F.lit(0)), 1, 6)
+    return _t(spark, sf_dir, "documents").select("doc_id", "n_chars", F.lower(F.array_join(words, " ")).alias("t"))
+
+
+@_query(
+    f"WITH RECURSIVE {_DOC_TITLES}, dim AS (SELECT t, min(doc_id) AS journal_id FROM named WHERE t <> '' GROUP BY 1), asked AS (SELECT doc_id AS id, substr(t, 1, length(t) - 1) || 's' AS q FROM named WHERE length(t) > 1), "
+    f"pairs AS (SELECT q AS key, t AS other, {_SORTED.format('q')} AS a, {_SORTED.format('t')} AS b FROM (SELECT DISTINCT q FROM asked) JOIN dim ON substr(q, 1, 4) = substr(t, 1, 4) AND 20 * least(length(q), length(t)) >= 9 * (length(q) + length(t))), {_LCS} "
+    "SELECT id, journal_id, cast(score AS decimal(18,10)) AS score, rank FROM (SELECT id, journal_id, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, journal_id) AS rank FROM asked JOIN scored ON q = key JOIN dim ON t = other) WHERE rank <= 5"
+)
+def fuzzy_document_titles(spark, sf_dir):
+    named = _doc_titles(spark, sf_dir)
+    dim = named.where("t <> ''").groupBy(F.col("t").alias("normalized_title")).agg(F.min("doc_id").alias("journal_id"))
+    records = named.where("length(t) > 1").select(F.col("doc_id").alias("id"), F.concat(F.expr("substr(t, 1, length(t) - 1)"), F.lit("s")).alias("key"))
+    return resolve.fuzzy_titles(records, dim).select("id", "journal_id", F.col("score").cast("decimal(18,10)").alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+#: Records by what becomes of them: as a title with a letter or words more, as a hexadecimal digest that is like no other title.
+_RECORD_KEY = "CASE n_chars % 4 WHEN 0 THEN t WHEN 1 THEN t || 's' WHEN 2 THEN t || ' vol' ELSE md5(doc_id::VARCHAR) END"
+
+
+@_query(
+    f"WITH RECURSIVE {_DOC_TITLES}, dim AS (SELECT t, min(doc_id) AS journal_id FROM named WHERE t <> '' GROUP BY 1), asked AS (SELECT doc_id AS id, {_RECORD_KEY} AS q, 'v' || doc_id AS v FROM named WHERE t <> ''), "
+    "owner AS (SELECT 'v' || max(doc_id) AS v, min(doc_id) AS journal_id FROM named WHERE t <> '' GROUP BY t HAVING count(*) > 1), "
+    f"pairs AS (SELECT q AS key, t AS other, {_SORTED.format('q')} AS a, {_SORTED.format('t')} AS b FROM (SELECT DISTINCT q FROM asked) JOIN dim ON substr(q, 1, 4) = substr(t, 1, 4) AND 20 * least(length(q), length(t)) >= 9 * (length(q) + length(t))), {_LCS}, "
+    "best AS (SELECT key, journal_id AS near, round(cast(score AS decimal(18,10)), 4) AS s FROM (SELECT key, journal_id, score, row_number() OVER (PARTITION BY key ORDER BY score DESC, journal_id) AS n FROM scored JOIN dim ON t = other) WHERE n = 1), "
+    "found AS (SELECT id, o.journal_id AS by_id, d.journal_id AS by_title, near, s FROM asked LEFT JOIN owner o USING (v) LEFT JOIN dim d ON q = t LEFT JOIN best ON q = key), "
+    "told AS (SELECT *, CASE WHEN by_id IS NOT NULL THEN 'exact_issn' WHEN by_title IS NOT NULL THEN 'exact_title' WHEN s IS NOT NULL THEN 'fuzzy_title' ELSE 'new_journal' END AS match_method FROM found) "
+    "SELECT id, match_method, CASE match_method WHEN 'fuzzy_title' THEN CASE WHEN s >= 0.97 THEN 'accepted' ELSE 'pending' END WHEN 'new_journal' THEN 'new_journal' ELSE 'accepted' END AS outcome, "
+    "CASE match_method WHEN 'exact_issn' THEN by_id WHEN 'exact_title' THEN by_title WHEN 'fuzzy_title' THEN CASE WHEN s >= 0.97 THEN near END ELSE 999999999 + row_number() OVER (PARTITION BY match_method ORDER BY id) END AS journal_id FROM told"
+)
+def resolve_documents(spark, sf_dir):
+    """The whole ladder where similarity decides but the order of records doesn't: what makes journals is like no other title."""
+    named = _doc_titles(spark, sf_dir).where("t <> ''")
+    dim = named.groupBy(F.col("t").alias("normalized_title")).agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    identifiers = dim.where("n > 1").select(F.col("id").alias("journal_id"), F.lit("ISSN").alias("identifier_type"), F.concat(F.lit("v"), "last").alias("normalized_value"))
+    kind = F.col("n_chars") % 4
+    key = F.when(kind == 0, F.col("t")).when(kind == 1, F.concat("t", F.lit("s"))).when(kind == 2, F.concat("t", F.lit(" vol"))).otherwise(F.md5(F.col("doc_id").cast("string").cast("binary")))
+    records = named.select(F.col("doc_id").alias("id"), key.alias("key"), F.array(F.concat(F.lit("v"), "doc_id")).alias("issns"))
+    return resolve.resolve_records(records, dim.select("id", "normalized_title"), identifiers, 1_000_000_000).outcomes.select("id", "match_method", "outcome", "journal_id")
+
+
 @_query(
     f"WITH RECURSIVE {_TITLES}, accepted AS (SELECT min(p_partkey) AS id, p_name || ' ' || lower(p_type) AS k, (0.90 + min(p_partkey) % 11 / 100.0)::DECIMAL(5,4) AS stored FROM part GROUP BY p_name, p_type), "
     "asked AS (SELECT id, k || CASE WHEN id % 3 = 0 THEN ' deluxe' ELSE '' END AS q, k, stored FROM accepted), "
