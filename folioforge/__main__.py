@@ -16,8 +16,11 @@ from .sources import delimited
 
 def _ingest(store: state.Store, args) -> None:
     paths = [args.path] if args.path.lower().endswith((".csv", ".xlsx")) else delimited.discover(store.spark, args.path)
-    for path in paths:
-        print(f"{path}: {ingest.load_file(store, args.source, path)}")
+    said = ingest.import_files(store, args.source, paths) if paths else {}
+    for path, outcome in said.items():
+        print(f"{path}: {outcome}")
+    if any(x.startswith("failed") for x in said.values()):
+        raise SystemExit(1)
 
 
 def _seed(store: state.Store, args) -> None:

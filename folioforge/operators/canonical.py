@@ -37,11 +37,12 @@ def issn_owners(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     Identifiers of a source id stand in the order of its rows, newest year first, then of their place in the row.
     """
     each = records.select("sourceid", "year", "subject_area", "id", F.posexplode(F.split("issn_raw", ",")).alias("pos", "part")).withColumn("identifier_value", S.strip("part")).withColumn("normalized_value", S.normalize_issn("part")).where("normalized_value is not null")
-    first = Window.partitionBy("sourceid", "normalized_value").orderBy(F.desc_nulls_last("year"), "subject_area", "id", "pos")
-    claims = each.withColumn("_first", F.row_number().over(first)).where("_first = 1")
-    owner = Window.partitionBy("normalized_value").orderBy("sourceid")
-    ranked = claims.select("sourceid", "identifier_value", "normalized_value", F.row_number().over(owner).alias("_place"), F.first("sourceid").over(owner).alias("owner"))
-    return ranked.where("_place = 1").drop("_place", "owner"), ranked.where("_place > 1").drop("_place")
+    # The first claim of a source id and the first source id of a value are met by partial aggregation, however frequent they are.
+    newest = F.struct(F.col("year").isNull().alias("none"), (-F.col("year")).alias("back"), "subject_area", "id", "pos", "identifier_value")
+    claims = each.groupBy("sourceid", "normalized_value").agg(F.min(newest)["identifier_value"].alias("identifier_value"))
+    owners = each.groupBy("normalized_value").agg(F.min("sourceid").alias("owner"))
+    told = state.join_one(claims, owners, "normalized_value").select("sourceid", "identifier_value", "normalized_value", "owner")
+    return told.where("sourceid = owner").drop("owner"), told.where("sourceid > owner")
 
 
 def seed(records: DataFrame, base: int = 0, identifiers: DataFrame | None = None, now: Column | None = None) -> dict[str, DataFrame]:
@@ -56,7 +57,8 @@ def seed(records: DataFrame, base: int = 0, identifiers: DataFrame | None = None
     first_year = records.groupBy("sourceid").agg(F.min("year").alias("first_observed_year"))
     shown = representative(records).withColumn("shown", S.normalize_title("title")).withColumn("normalized_title", S.matching_title("title"))
     sound = F.when((F.col("shown") == "") | (F.col("normalized_title") == ""), F.raise_error(F.concat(F.lit("no usable title: source id "), "sourceid")).cast("string")).otherwise(F.col("normalized_title"))
-    made = state.next_ids(shown.withColumn("normalized_title", sound).join(first_year, "sourceid").select("sourceid", "shown", "normalized_title", F.col("publisher_raw").alias("publisher"), "first_observed_year"), ["sourceid"], base).persist()
+    made = state.next_ids(shown.withColumn("normalized_title", sound).join(first_year, "sourceid").select("sourceid", "shown", "normalized_title", F.col("publisher_raw").alias("publisher"), "first_observed_year"), ["sourceid"], base)
+    made = state.durable(made)
     ids = made.select("sourceid", F.col("id").alias("journal_id"))
     owned, conflicts = issn_owners(records)
     if identifiers is not None:
@@ -134,16 +136,23 @@ def repaired_tables(store, now: Column | None = None) -> dict[str, DataFrame]:
 
 
 def invariants(records: DataFrame, journals: DataFrame, identifiers: DataFrame, mapping: DataFrame, decisions: DataFrame) -> DataFrame:
-    """(invariant, violations) that hold after a seed or a repair."""
-    own = identifiers.where("identifier_type = 'SCIMAGO_SOURCE_ID'")
-    ids = records.select("sourceid").distinct().count()
-    tagged = lambda df: df.where(F.col("source_record_table") == TABLE).count()
+    """(invariant, violations) that hold after a seed or a repair. Records are read once for their counts, and once against the identifiers."""
+    own = identifiers.where("identifier_type = 'SCIMAGO_SOURCE_ID'").select(S.strip("normalized_value").alias("sourceid"), F.col("journal_id").alias("named"))
+    groups = records.groupBy("sourceid", "journal_id").agg(F.count("*").alias("n"))
+    each = groups.groupBy("sourceid").agg(F.count("journal_id").alias("journals"), F.sum("n").alias("n"), F.sum(F.when(F.col("journal_id").isNull(), F.col("n")).otherwise(0)).alias("open"))
+    counted = each.agg(F.count("*").alias("ids"), F.count(F.when(F.col("journals") != 1, 1)).alias("split"), F.sum("n").alias("records"), F.sum("open").alias("open"))
+    wrong = groups.join(own, "sourceid").where("not (journal_id <=> named)").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("wrong"))
+    tagged = lambda df, kind: df.select(F.lit(kind).alias("kind"), (F.col("source_record_table") == TABLE).alias("ours") if "source_record_table" in df.columns else F.lit(True).alias("ours"))
+    rows = tagged(own, "own").unionByName(tagged(journals, "journals")).unionByName(tagged(mapping, "mapping")).unionByName(tagged(decisions, "decisions"))
+    sizes = {r.kind: r.n for r in rows.where("ours").groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    of, lost = counted.first(), wrong.first().wrong
+    size, total = (lambda kind: sizes.get(kind, 0)), of.records or 0
     found = {
-        "one identifier a source id": abs(own.count() - ids),
-        "one journal a source id": records.groupBy("sourceid").agg(F.count_distinct("journal_id").alias("n")).where("n <> 1").count(),
-        "records agree with identifiers": records.join(own.select(S.strip("normalized_value").alias("sourceid"), F.col("journal_id").alias("named")), "sourceid").where("not (journal_id <=> named)").count(),
-        "every record linked": records.where("journal_id is null").count(),
-        "a mapping and a decision a record": abs(tagged(mapping) - records.count()) + abs(tagged(decisions) - records.count()),
-        "journals cover the source ids": max(0, ids - journals.count()),
+        "one identifier a source id": abs(size("own") - of.ids),
+        "one journal a source id": of.split,
+        "records agree with identifiers": lost,
+        "every record linked": of.open or 0,
+        "a mapping and a decision a record": abs(size("mapping") - total) + abs(size("decisions") - total),
+        "journals cover the source ids": max(0, of.ids - size("journals")),
     }
     return records.sparkSession.createDataFrame(list(found.items()), "invariant string, violations long")

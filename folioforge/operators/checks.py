@@ -88,29 +88,40 @@ def dangling(references: DataFrame, tables: dict[str, DataFrame], n: int | None
     return lost.withColumn("reason", F.when(F.col("source_record_table").isin(*tables), "source_record_missing").otherwise("unknown_source_table"))
 
 
+def _bits(rows: DataFrame, *by: str) -> DataFrame:
+    """(by, bucket, bits): the rows' ids as bits, a row for each bucket of them."""
+    bucket = F.bitmap_bucket_number("raw_row_id").alias("bucket")
+    return rows.groupBy(*by, bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("raw_row_id")).alias("bits"))
+
+
 def lineage(datasets: DataFrame, raw_rows: DataFrame, raw_files: DataFrame, rejections: DataFrame, records: dict[str, DataFrame]) -> DataFrame:
     """One row a loaded dataset: raw rows against records and rejections.
 
     A row counts as rejected once, however many problems it has, and only if no record came from it; rows that repeat
     another, or that have no rating at all, are told apart as skipped, so that a clean dataset passes.
+
+    Rows are sets of bits of their ids, 32,768 a row, so raw rows and records are never joined one by one: what is counted
+    are bits of the sets' unions. Only rejected rows are looked up by their place in a file.
     """
     code = S.lookup("source_id", {k: c for c, k in schemas.SOURCE_IDS.items()})
     loaded = datasets.where("status = 'loaded'").select(F.col("id").alias("dataset_id"), code.alias("source_code"))
     files = raw_files.select(F.col("id").alias("raw_file_id"), "dataset_id")
-    raw = raw_rows.join(files, "raw_file_id").select("dataset_id", "raw_file_id", "row_number", F.col("id").alias("raw_row_id"), F.sha2(F.col("raw_data").cast("binary"), 256).alias("hash"))
+    raw = raw_rows.select(F.col("id").alias("raw_row_id"), "raw_file_id", "row_number").join(files, "raw_file_id")
     made = None
     for source, df in records.items():
         part = df.select("dataset_id", "raw_row_id", F.lit(source).alias("source_code"))
         made = part if made is None else made.unionByName(part)
-    counts = made.groupBy("dataset_id").agg(F.count("*").alias("normalized_records"), F.count_distinct("raw_row_id").alias("distinct_source_rows"))
-    bad = rejections.select("dataset_id", "raw_file_id", "row_number").distinct().withColumn("_bad", F.lit(1))
-    from_row = made.select("raw_row_id").distinct().withColumn("_made", F.lit(1))
-    state = raw.join(bad, ["dataset_id", "raw_file_id", "row_number"], "left").join(from_row, "raw_row_id", "left")
-    rows = state.groupBy("dataset_id").agg(
-        F.count("*").alias("raw_rows"),
-        F.count(F.when(F.col("_bad").isNotNull() & F.col("_made").isNull(), 1)).alias("ingestion_rejections"),
-        F.count(F.when(F.col("_bad").isNull() & F.col("_made").isNull(), 1)).alias("skipped_rows"),
-    )
+    bad = rejections.select("dataset_id", "raw_file_id", "row_number").distinct().join(raw, ["dataset_id", "raw_file_id", "row_number"])
+    kinds = lambda kind, df: df.select("dataset_id", "bucket", F.lit(kind).alias("kind"), "bits")
+    there, own = _bits(raw, "dataset_id"), _bits(made.where("raw_row_id is not null"), "dataset_id")
+    from_any = own.groupBy("bucket").agg(F.bitmap_or_agg("bits").alias("bits")).join(there.select("dataset_id", "bucket"), "bucket")
+    sets = kinds("raw", there).unionByName(kinds("made", from_any)).unionByName(kinds("bad", _bits(bad, "dataset_id")))
+    union = lambda *of: F.coalesce(F.bitmap_count(F.bitmap_or_agg(F.when(F.col("kind").isin(*of), F.col("bits")))), F.lit(0))
+    counted = sets.groupBy("dataset_id", "bucket").agg(union("raw").alias("r"), union("made").alias("m"), union("made", "raw").alias("mr"), union("made", "bad").alias("mb"), union("made", "bad", "raw").alias("mbr"))
+    # Of the raw rows, those with a record, and those with a record or a rejection.
+    with_record, told = F.col("r") + F.col("m") - F.col("mr"), F.col("r") + F.col("mb") - F.col("mbr")
+    rows = counted.groupBy("dataset_id").agg(F.sum("r").alias("raw_rows"), F.sum(told - with_record).alias("ingestion_rejections"), F.sum(F.col("r") - told).alias("skipped_rows"))
+    counts = made.groupBy("dataset_id").agg(F.count("*").alias("normalized_records")).join(own.groupBy("dataset_id").agg(F.sum(F.bitmap_count("bits")).alias("distinct_source_rows")), "dataset_id", "left")
     many = F.col("source_code").isin(*[s for s, x in ONE_TO_MANY.items() if x])
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     full = loaded.join(rows, "dataset_id", "left").join(counts, "dataset_id", "left").withColumns({c: zero(F.col(c)) for c in ("raw_rows", "ingestion_rejections", "skipped_rows", "normalized_records", "distinct_source_rows")})

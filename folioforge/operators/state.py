@@ -10,7 +10,7 @@ import json
 import tempfile
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -43,6 +43,16 @@ def next_ids(df: DataFrame, order: Iterable[Column | str], base: int | Column =
     return dealt.join(F.broadcast(offsets), "_part").withColumn(name, (inside + F.col("_before") + base).cast("long")).drop("_part", "_at", "_before")
 
 
+def join_one(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """many joined with one, which has a row a key; keys may be structs, and nulls in them are alike.
+
+    Both sides are dealt anew by a value that no earlier exchange was by, so that the adaptive execution can split a key that
+    very many rows share.
+    """
+    dealt = F.struct(F.col(key).alias("k"), F.lit(0).alias("z"))
+    return many.withColumn("_dealt", dealt).join(one.withColumn("_dealt", dealt).drop(key), "_dealt").drop("_dealt")
+
+
 def insert_absent(old: DataFrame, new: DataFrame, key: Iterable[str], order: Iterable[Column | str] = ()) -> DataFrame:
     """old and those rows of new whose key it lacks; of several new rows with a key the first in order stays."""
     key = list(key)
@@ -52,9 +62,13 @@ def insert_absent(old: DataFrame, new: DataFrame, key: Iterable[str], order: Ite
 
 
 def update_by_key(old: DataFrame, changes: DataFrame, key: Iterable[str], columns: Iterable[str], touched: Column | None = None, stamp: str | None = None) -> DataFrame:
-    """old with columns replaced where changes has the key, once at most; stamp, if named, takes touched on those rows, even where nothing differs."""
+    """old with columns replaced where changes has the key; a key that changes twice is an error when the rows are read.
+
+    stamp, if named, takes touched on the rows that are hit, even where nothing differs.
+    """
     key, columns = list(key), list(columns)
-    new = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    twice = F.when(F.count("*") > 1, F.raise_error(F.concat(F.lit("changed twice: "), F.to_json(F.struct(*key)))).cast("boolean")).otherwise(F.lit(True))
+    new = changes.groupBy(*key).agg(F.first(F.struct(*columns)).alias("_new"), twice.alias("_hit")).select(*key, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns], "_hit")
     joined = old.join(new, key, "left")
     hit = F.col("_hit").isNotNull()
     out = []
@@ -129,9 +143,14 @@ class Store:
         new, manifest = self.version() + 1, self.manifest()
         for name, df in [*tables.items(), *(append or {}).items()]:
             place = self._path("versions", str(new), name).toString()
-            schemas.conform(df, name).write.mode("overwrite").parquet(place)
+            # What a row breaks by itself is counted while it's written; keys take one more scan.
+            conformed, seen = schemas.conform(df, name), Observation()
+            broken = schemas.unsound(name, conformed.columns)
+            conformed.observe(seen, F.count("*").alias("n"), F.count(F.when(broken, 1)).alias("unsound")).write.mode("overwrite").parquet(place)
             part, old = self._parts(name, [new]), [] if name in tables else manifest.get(name, [])
-            bad = schemas.violations(part, name).limit(3).collect() if check else []
+            bad = []
+            if check and seen.get["n"]:
+                bad = (schemas.row_violations(part, name) if seen.get["unsound"] else schemas.key_violations(part, name)).limit(3).collect()
             for key in schemas.TABLES[name].keys if check and old else ():
                 bad += self._parts(name, old).select(*key).join(part.select(*key), list(key), "left_semi").limit(3).collect()
             if bad:

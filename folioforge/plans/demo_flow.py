@@ -123,58 +123,67 @@ def _folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/demo-{uuid.uuid4().hex}"
 
 
-def _one_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """df as one file of that name, as a source would send it."""
+def _csv_files(df: DataFrame, folder: str, by: str, order: str, sep: str = ",") -> None:
+    """df as a file for each value of a column, named by it, as a source would send them; the files are written in parallel."""
     spark = df.sparkSession
-    df.coalesce(1).write.csv(f"{path}.parts", header=True, sep=sep, escape='"')
+    df.repartition(by).sortWithinPartitions(by, order).write.partitionBy(by).csv(f"{folder}.parts", header=True, sep=sep, escape='"')
     make = spark._jvm.org.apache.hadoop.fs.Path
-    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    (part,) = [s.getPath() for s in fs.listStatus(make(f"{path}.parts")) if s.getPath().getName().startswith("part-")]
-    fs.rename(part, make(path))
-    fs.delete(make(f"{path}.parts"), True)
+    fs = make(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(make(folder))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{folder}.parts").select("path")
+    for r in files.withColumn("name", F.url_decode(F.regexp_extract("path", f"/{by}=([^/]*)/", 1))).collect():  # one name a file
+        fs.rename(make(r.path), make(f"{folder}/{r.name}.csv"))
+    fs.delete(make(f"{folder}.parts"), True)
 
 
 @_query(
-    "WITH r AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS n, s_suppkey % 10 = 0 AS bad FROM supplier), g AS (SELECT *, row_number() OVER (ORDER BY n) AS id FROM r WHERE NOT bad) "
-    "SELECT 'raw' AS kind, n AS id, 'S;' || s_suppkey AS a, NULL AS b FROM r UNION ALL SELECT 'rejection', n, 'title_missing', NULL FROM r WHERE bad "
-    "UNION ALL SELECT 'record', id, 'S;' || s_suppkey, '2019 Arts & \"Letters\"' FROM g UNION ALL SELECT 'category', id, 'Law', 'Q1' FROM g UNION ALL SELECT 'category', id, 'Ethics', NULL FROM g UNION ALL SELECT 'area', id, 'Arts', NULL FROM g "
-    "UNION ALL SELECT 'dataset', count(*), 'loaded', 'loaded skipped' FROM g"
+    "WITH s AS (SELECT c_custkey, n_nationkey, n_name, c_custkey % 10 = 0 AS bad, dense_rank() OVER (ORDER BY n_name) AS d, row_number() OVER (ORDER BY n_name, c_custkey) AS n, row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) AS k FROM customer JOIN nation ON n_nationkey = c_nationkey), g AS (SELECT *, row_number() OVER (ORDER BY n) AS id FROM s WHERE NOT bad) "
+    "SELECT 'raw' AS kind, n AS id, d::BIGINT AS dataset, 'S;' || c_custkey AS a, k::VARCHAR AS b FROM s UNION ALL SELECT 'rejection', k, d, 'title_missing', NULL FROM s WHERE bad "
+    "UNION ALL SELECT 'record', id, d, 'S;' || c_custkey, '2019 ' || n_name || ' \"Letters\"' FROM g UNION ALL SELECT 'category', id, NULL, 'Law', 'Q1' FROM g UNION ALL SELECT 'category', id, NULL, 'Ethics', NULL FROM g UNION ALL SELECT 'area', id, NULL, 'Arts', NULL FROM g "
+    "UNION ALL SELECT 'dataset', count(*) FILTER (WHERE NOT bad), d, 'loaded', 'loaded skipped' FROM s GROUP BY d UNION ALL SELECT 'dataset', NULL, max(d) + 1, 'failed', 'failed failed' FROM s"
 )
 def ingest_file(spark, sf_dir):
-    """Suppliers written as a delimited file, found, profiled, loaded twice, and what the tables then hold."""
-    folder, key = _folder(spark), F.col("s_suppkey")
-    rows = _t(spark, sf_dir, "supplier").orderBy("s_suppkey").select(F.concat(F.lit("S;"), key).alias("Sourceid"), F.when(key % 10 != 0, F.concat(F.lit('A "title", '), key)).alias("Title"), F.lit("1,5").alias("SJR"), F.lit("Q1").alias("SJR Best Quartile"), F.lit("Law (Q1); Ethics").alias("Categories"), F.lit("Arts").alias("Areas"))
-    _one_csv(rows, f'{folder}/raw/scimagojr 2019  Subject Area - Arts & "Letters".csv', ";")
-    (path,) = delimited.discover(spark, f"{folder}/raw")
-    store = state.Store(spark, f"{folder}/store")
-    said = " ".join(ingest.load_file(store, "SCIMAGO", path) for _ in range(2))
-    none = F.lit(None).cast("string")
-    r = store.read
+    """Customers written as a delimited file a nation and one that breaks the rules, all found and loaded together, twice, and what the tables then hold."""
+    folder, key = _folder(spark), F.col("c_custkey")
+    nations = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.concat(F.lit("scimagojr 2019  Subject Area - "), "n_name", F.lit(' "Letters"')).alias("file"))
+    row = [F.concat(F.lit("S;"), key).alias("Sourceid"), F.when(key % 10 != 0, F.concat(F.lit('A "title", '), key)).alias("Title"), F.lit("1,5").alias("SJR"), F.lit("Q1").alias("SJR Best Quartile"), F.lit("Law (Q1); Ethics").alias("Categories"), F.lit("Arts").alias("Areas")]
+    rows = _t(spark, sf_dir, "customer").join(nations, "c_nationkey").select("file", key, *row)
+    broken = nations.groupBy().agg(F.lit("scimagojr 2019  Subject Area - ~broken").alias("file"), F.count("*").alias("c_custkey")).select("file", key, *row).withColumn("Title", F.repeat(F.lit("x"), 501))
+    _csv_files(rows.unionByName(broken), f"{folder}/raw", "file", "c_custkey", ";")
+    paths, store = delimited.discover(spark, f"{folder}/raw"), state.Store(spark, f"{folder}/store")
+    once, twice = (ingest.import_files(store, "SCIMAGO", paths) for _ in range(2))
+    said = spark.createDataFrame([(p.rsplit("/", 1)[-1], " ".join(x[p].split(":")[0] for x in (once, twice))) for p in once], "file_name string, said string")
+    none, r = F.lit(None).cast("string"), store.read
+    files = r("raw_files").select(F.col("id").alias("raw_file_id"), "dataset_id")
     parts = [
-        r("raw_rows").select(F.lit("raw"), F.col("row_number"), F.get_json_object("raw_data", "$.Sourceid"), none),
-        r("ingestion_rejections").select(F.lit("rejection"), "row_number", "reason", none),
-        r("scimago_records").select(F.lit("record"), "id", "sourceid", F.concat_ws(" ", "year", "subject_area")),
-        r("scimago_categories").select(F.lit("category"), "scimago_record_id", "category_name", "quartile"),
-        r("scimago_areas").select(F.lit("area"), "scimago_record_id", "area_name", none),
-        r("datasets").select(F.lit("dataset"), "record_count", "status", F.lit(said)),
+        r("raw_rows").join(files, "raw_file_id").select(F.lit("raw"), "id", "dataset_id", F.get_json_object("raw_data", "$.Sourceid"), F.col("row_number").cast("string")),
+        r("ingestion_rejections").select(F.lit("rejection"), "row_number", "dataset_id", "reason", none),
+        r("scimago_records").select(F.lit("record"), "id", "dataset_id", "sourceid", F.concat_ws(" ", "year", "subject_area")),
+        r("scimago_categories").select(F.lit("category"), "scimago_record_id", F.lit(None).cast("long"), "category_name", "quartile"),
+        r("scimago_areas").select(F.lit("area"), "scimago_record_id", F.lit(None).cast("long"), "area_name", none),
+        r("datasets").join(said, "file_name").select(F.lit("dataset"), "record_count", "id", "status", "said"),
     ]
     out = None
     for part in parts:
-        part = part.toDF("kind", "id", "a", "b")
+        part = part.toDF("kind", "id", "dataset", "a", "b")
         out = part if out is None else out.unionByName(part)
     return out
 
 
-@_query("SELECT 'orders.csv' AS file_name, 'utf-8' AS encoding, '|' AS delimiter, count(*)::BIGINT AS row_count, '[\"key\", \"ISSN\", \"note\"]' AS columns, 'has_identifier' AS identifier_status FROM orders UNION ALL SELECT 'nations.csv', 'utf-8', ',', count(*), '[\"n_nationkey\", \"n_name\"]', 'title_only' FROM nation")
+@_query(
+    "SELECT 'orders ' || o_orderpriority || '.csv' AS file_name, 'utf-8' AS encoding, '|' AS delimiter, count(*)::BIGINT AS row_count, '[\"key\", \"ISSN\", \"note\"]' AS columns, 'has_identifier' AS identifier_status FROM orders GROUP BY o_orderpriority "
+    "UNION ALL SELECT 'nations ' || n_regionkey || '.csv', 'utf-8', ',', count(*), '[\"n_nationkey\", \"n_name\"]', 'title_only' FROM nation GROUP BY n_regionkey"
+)
 def inventory_profile(spark, sf_dir):
-    """Two tables written as files of different delimiters, and the inventory of both."""
+    """Two tables written as several files of different delimiters, some with line breaks in quotes, and the inventory of all."""
     from ..sources import inventory
 
     folder = _folder(spark)
-    _one_csv(_t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.lit("0378-5955").alias("ISSN"), F.col("o_orderpriority").alias("note")), f"{folder}/orders.csv", "|")
-    _one_csv(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name"), f"{folder}/nations.csv")
-    found = inventory.inventory(spark, [("ABS", f"{folder}/orders.csv"), ("FT50", f"{folder}/nations.csv")])
-    return found.select("file_name", "encoding", "delimiter", "row_count", "columns", "identifier_status")
+    note = F.when(F.col("o_orderpriority").startswith("1"), F.concat("o_orderstatus", F.lit("\n"), "o_orderkey")).otherwise(F.col("o_orderstatus"))
+    _csv_files(_t(spark, sf_dir, "orders").select(F.concat(F.lit("orders "), "o_orderpriority").alias("file"), F.col("o_orderkey").alias("key"), F.lit("0378-5955").alias("ISSN"), note.alias("note")), f"{folder}/orders", "file", "key", "|")
+    _csv_files(_t(spark, sf_dir, "nation").select(F.concat(F.lit("nations "), "n_regionkey").alias("file"), "n_nationkey", "n_name"), f"{folder}/nations", "file", "n_nationkey")
+    files = [(source, path) for source, name in (("ABS", "orders"), ("FT50", "nations")) for path in delimited.discover(spark, f"{folder}/{name}")]
+    return inventory.inventory(spark, files).select("file_name", "encoding", "delimiter", "row_count", "columns", "identifier_status")
 
 
 # --- keys, lineage, the canonical dimension ------------------------------------------------------------------------------
@@ -232,6 +241,29 @@ def lineage_reconcile(spark, sf_dir):
     return checks.lineage(datasets, raw, files, rejected, records).select("source_code", "raw_rows", "normalized_records", "ingestion_rejections", "skipped_rows", "status")
 
 
+@_query(
+    "WITH j AS (SELECT CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey - 1 ELSE s_suppkey END AS id, CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS title FROM supplier), "
+    "i AS (SELECT l_orderkey, l_linenumber, l_partkey % 50 AS journal_id, CASE WHEN l_returnflag = 'R' THEN 'OTHER' ELSE 'ISSN' END AS t, (l_orderkey * 10 + l_linenumber) // 3 AS v, l_linestatus = 'O' AS p FROM lineitem) "
+    "SELECT 'journals' AS name, 'unique(id)' AS constraint, '{\"id\":' || id || '}' AS detail, count(*)::BIGINT AS n FROM j GROUP BY id HAVING count(*) > 1 UNION ALL SELECT 'journals', 'required(canonical_title)', NULL, count(*) FROM j WHERE title IS NULL HAVING count(*) > 0 "
+    "UNION ALL SELECT 'journal_identifiers', 'unique(identifier_type, normalized_value)', '{\"identifier_type\":\"' || t || '\",\"normalized_value\":\"' || v || '\"}', count(*) FROM i GROUP BY t, v HAVING count(*) > 1 "
+    "UNION ALL SELECT 'journal_identifiers', 'domain(identifier_type)', t, count(*) FROM i WHERE t = 'OTHER' GROUP BY t UNION ALL SELECT 'journal_identifiers', 'one primary identifier a type', '{\"journal_id\":' || journal_id || ',\"identifier_type\":\"' || t || '\"}', count(*) FROM i WHERE p GROUP BY journal_id, t HAVING count(*) > 1 "
+    "UNION ALL SELECT 'raw_files', 'length(file_path)', url, count(*) FROM (SELECT url || repeat('x', 501 - page_id % 2 - length(url)) AS url FROM pages WHERE length(url) < 400) WHERE length(url) > 500 GROUP BY url"
+)
+def constraint_violations(spark, sf_dir):
+    """Suppliers, lines and pages as rows of three tables that break their rules of every kind."""
+    key = F.col("s_suppkey")
+    journals = _t(spark, sf_dir, "supplier").select(F.when(key % 5 == 0, key - 1).otherwise(key).alias("id"), F.when(key % 7 != 0, F.col("s_name")).alias("canonical_title"), F.lit("x").alias("normalized_title"))
+    value = F.floor((F.col("l_orderkey") * 10 + F.col("l_linenumber")) / 3).cast("string")
+    identifiers = _t(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 50).alias("journal_id"), F.when(F.col("l_returnflag") == "R", "OTHER").otherwise("ISSN").alias("identifier_type"), value.alias("normalized_value"), (F.col("l_linestatus") == "O").alias("is_primary"))
+    url = F.concat("url", F.expr("repeat('x', cast(501 - page_id % 2 - length(url) as int))"))
+    files = _t(spark, sf_dir, "pages").where("length(url) < 400").select(F.col("page_id").alias("id"), url.alias("file_path"))
+    out = None
+    for name, df in (("journals", journals), ("journal_identifiers", identifiers), ("raw_files", files)):
+        part = schemas.violations(schemas.conform(df, name), name).select(F.lit(name).alias("name"), "constraint", "detail", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @_query(
     "SELECT unnest(['one identifier a source id', 'one journal a source id', 'records agree with identifiers', 'every record linked', 'a mapping and a decision a record', 'journals cover the source ids']) AS invariant, 0::BIGINT AS violations"
 )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,25 +90,58 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name.lower() in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in TABLES[name].schema])
 
 
+def _row_checks(table: Table) -> list[tuple[str, Column, str]]:
+    """(constraint, what breaks it, column) of the rules that a row breaks by itself."""
+    checks = [(f"domain({c})", F.col(c).isNotNull() & ~F.col(c).isin(*values), c) for c, values in table.domains.items()]
+    checks += [(f"length({c})", F.coalesce(F.length(c) > n, F.lit(False)), c) for c, n in table.lengths.items()]
+    return checks + [(f"required({c})", F.col(c).isNull(), c) for c in table.required]
+
+
+def unsound(name: str, columns) -> Column:
+    """Whether a row breaks a rule of its table by itself; of the columns that there are."""
+    out = F.lit(False)
+    for _, test, column in _row_checks(TABLES[name]):
+        if column in columns:
+            out = out | test
+    return out
+
+
+#: Rows of which there may be one for each value of some columns: (constraint, which rows, columns).
+ONE_OF = {
+    "entity_match_candidates": ("one accepted candidate a record", "review_status = 'accepted'", _REFERENCE_KEY),
+    "journal_identifiers": ("one primary identifier a type", "is_primary", ("journal_id", "identifier_type")),
+}
+
+
+def row_violations(df: DataFrame, name: str) -> DataFrame:
+    """(constraint, detail, n) of the domains, lengths and required columns that rows break by themselves, from one scan."""
+    told = [F.when(test, F.struct(F.lit(label).alias("constraint"), F.col(column).cast("string").alias("detail"))) for label, test, column in _row_checks(TABLES[name])]
+    if not told:
+        return _nothing(df)
+    each = df.select(F.explode(F.array_compact(F.array(*told))).alias("x")).select("x.constraint", "x.detail")
+    return each.groupBy("constraint", "detail").agg(F.count("*").alias("n"))
+
+
+def key_violations(df: DataFrame, name: str) -> DataFrame:
+    """(constraint, detail, n) of the keys that several rows have, all keys of a table in one scan and one aggregation."""
+    keys = [(f"unique({', '.join(key)})", functools.reduce(Column.__and__, [F.col(c).isNotNull() for c in key]), key) for key in TABLES[name].keys]
+    if name in ONE_OF:
+        label, rows, key = ONE_OF[name]
+        keys.append((label, F.expr(rows), key))
+    if not keys:
+        return _nothing(df)
+    each = F.array_compact(F.array(*[F.when(rows, F.struct(F.lit(k).alias("key"), F.array(*[F.col(c).cast("string") for c in key]).alias("values"))) for k, (_, rows, key) in enumerate(keys)]))
+    several = df.select(F.explode(each).alias("x")).groupBy("x.key", "x.values").agg(F.count("*").alias("n")).where("n > 1")
+    types = {f.name: f.dataType for f in TABLES[name].schema}
+    chosen = lambda made: functools.reduce(lambda out, k: out.when(F.col("key") == k, made(*keys[k])), range(1, len(keys)), F.when(F.col("key") == 0, made(*keys[0])))
+    detail = chosen(lambda _, __, key: F.to_json(F.struct(*[F.col("values")[i].cast(types[c]).alias(c) for i, c in enumerate(key)])))
+    return several.select(chosen(lambda label, *_: F.lit(label)).alias("constraint"), detail.alias("detail"), "n")
+
+
+def _nothing(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "constraint string, detail string, n long")
+
+
 def violations(df: DataFrame, name: str) -> DataFrame:
     """(constraint, detail, n) of what breaks a table's keys, domains, lengths or required columns; empty if it is sound."""
-    table, parts = TABLES[name], []
-    for key in table.keys:
-        whole = F.lit(True)
-        for c in key:
-            whole = whole & F.col(c).isNotNull()
-        parts.append(df.where(whole).groupBy(*key).count().where("count > 1").select(F.lit(f"unique({', '.join(key)})").alias("constraint"), F.to_json(F.struct(*key)).alias("detail"), F.col("count").alias("n")))
-    checks = [(f"domain({c})", F.col(c).isNotNull() & ~F.col(c).isin(*values), c) for c, values in table.domains.items()]
-    checks += [(f"length({c})", F.length(c) > n, c) for c, n in table.lengths.items()]
-    checks += [(f"required({c})", F.col(c).isNull(), c) for c in table.required]
-    for label, test, column in checks:
-        parts.append(df.where(test).groupBy(F.col(column).cast("string").alias("detail")).count().select(F.lit(label).alias("constraint"), "detail", F.col("count").alias("n")))
-    if name == "entity_match_candidates":
-        one = ("source_id", "source_record_table", "source_record_id")
-        parts.append(df.where("review_status = 'accepted'").groupBy(*one).count().where("count > 1").select(F.lit("one accepted candidate a record").alias("constraint"), F.to_json(F.struct(*one)).alias("detail"), F.col("count").alias("n")))
-    if name == "journal_identifiers":
-        parts.append(df.where("is_primary").groupBy("journal_id", "identifier_type").count().where("count > 1").select(F.lit("one primary identifier a type").alias("constraint"), F.to_json(F.struct("journal_id", "identifier_type")).alias("detail"), F.col("count").alias("n")))
-    out = None
-    for part in parts:
-        out = part if out is None else out.unionByName(part)
-    return df.sparkSession.createDataFrame([], "constraint string, detail string, n long") if out is None else out
+    return row_violations(df, name).unionByName(key_violations(df, name))

@@ -178,6 +178,72 @@ def test_end_to_end(spark, raw, tmp_path):
     assert ingest.load_file(store, *files[4]) == "loaded"
 
 
+def test_many_files_in_one_go(spark, tmp_path, monkeypatch):
+    """Of many files of several layouts the broken ones fail by themselves; jobs don't grow with the files."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+
+    def write(n):
+        for k in range(n):
+            rows = "".join(f'{i},"Title, {k} ""of"" {i}",2026\n' for i in range(1, 4 + k % 3))
+            text = "rank,journal_name,ft50_year\n" + rows + ('9,"broken\nline",2026\n' if k % 4 == 1 else "")
+            (raw / f"f {k:03}+%20.csv").write_bytes(text.encode("latin-1") + ("7,\xc9tude,2026\n".encode("latin-1") if k % 5 == 2 else b""))
+
+    def jobs(f):
+        tracker, group = spark.sparkContext.statusTracker(), f"g{write.__hash__()}{len(list(raw.iterdir()))}"
+        spark.sparkContext.setJobGroup(group, "")
+        out = f()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return out, len(tracker.getJobIdsForGroup(group))
+
+    write(20)
+    (raw / "other.csv").write_text("a,b\n1,2\n")
+    (raw / "empty.csv").write_text("")
+    deep = raw / ("x" * 240) / ("y" * 240)
+    deep.mkdir(parents=True)
+    (deep / "long.csv").write_text("rank,journal_name,ft50_year\n1,Long,2026\n")
+    paths = delimited.discover(spark, str(raw))
+    store = state.Store(spark, str(tmp_path / "many"))
+    said, few_jobs = jobs(lambda: ingest.import_files(store, "FT50", paths))
+    by_name = {p.rsplit("/", 1)[-1]: x for p, x in said.items()}
+    failed = {n for n, x in by_name.items() if x.startswith("failed: ")}
+    assert failed == {"other.csv", "empty.csv", "long.csv"} and sum(x == "loaded" for x in by_name.values()) == 20 and store.version() == 1
+    one_by_one = state.Store(spark, str(tmp_path / "single"))
+    for p in [p for p in paths if by_name[p.rsplit("/", 1)[-1]] == "loaded"][:6]:
+        ingest.load_file(one_by_one, "FT50", p)
+    for name, keys in (("raw_rows", ["id"]), ("ft50_records", ["id"]), ("raw_files", ["id"])):
+        few = [r.asDict() for r in one_by_one.read(name).orderBy(*keys).drop("created_at", "dataset_id").collect()]
+        many = [r.asDict() for r in store.read(name).orderBy(*keys).limit(len(few)).drop("created_at", "dataset_id").collect()]
+        assert few == many and few
+    assert {r.status for r in store.read("datasets").collect()} == {"loaded", "failed"} and store.read("datasets").where("status = 'loaded' and record_count is null").count() == 0
+    assert store.read("ft50_records").where("journal_name = 'broken line' or journal_name = 'Étude'").count() == 9
+    assert set(ingest.import_files(store, "FT50", [p for p in paths if by_name[p.rsplit("/", 1)[-1]] == "loaded"]).values()) == {"skipped"}
+    write(60)
+    again = state.Store(spark, str(tmp_path / "again"))
+    _, many_jobs = jobs(lambda: ingest.import_files(again, "FT50", delimited.discover(spark, str(raw), "f *.csv")))
+    assert again.read("raw_files").count() == 60 and many_jobs <= few_jobs * 1.2
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2\n", "a,b\n1,2", "a,b\r\n1,2\r\n\r\n3,4\r\n", 'a,b\n"x\ny",2\n3,4\n', "a,b\n1,2\n   \n3,4\n", 'a,b\n5" x 3",2\n3,4\n', "a,b\r1,2\r3,4", "\n\na,b\n1,2\n", "\ufeffa,b\n1,2\n"])
+def test_split_and_whole_reads_agree(spark, tmp_path, text, monkeypatch):
+    """What the probe lets be read in splits has the same rows that a reading of the whole file has; digests don't depend on the way."""
+    import hashlib
+
+    (tmp_path / "x y+%.csv").write_bytes(text.encode())
+    path = str(tmp_path / "x y+%.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5")
+    monkeypatch.setattr(delimited, "WHOLE_BYTES", -1)
+    try:
+        ((layout, files),) = delimited.layouts(spark, [path]).items()
+        rows = lambda whole: sorted((r._row_number, *r[1:]) for r in delimited.read_layout(spark, delimited.Layout(layout.header, ",", "utf-8", layout.split and not whole), [path]).drop("_file").select("_row_number", "*").collect())
+        assert rows(False) == rows(True)
+        assert layout.split == (not any(x in text for x in ("x\ny", "   ", '"', "\r1", "\n\na")) or '5"' in text)
+        (fact,) = delimited.digests(spark, [path]).collect()
+        assert (fact.sha256, fact.size, fact.file_path) == (hashlib.sha256(text.encode()).hexdigest(), len(text.encode()), files[0][0])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_failed_import_is_marked(spark, tmp_path):
     store = state.Store(spark, str(tmp_path / "store"))
     (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
@@ -201,6 +267,10 @@ def test_stream(spark, raw, tmp_path):
     for _ in range(2):
         streaming.watch(store, "FT50", str(raw), str(tmp_path / "cp"), "ft50*.csv").awaitTermination()
     assert store.read("ft50_records").count() == 2
+    (raw / "ft50_bad.csv").write_text("a,b\n1,2\n")
+    (raw / "ft50_later.csv").write_text("rank,journal_name,ft50_year\n3,Later,2026\n")
+    streaming.watch(store, "FT50", str(raw), str(tmp_path / "cp"), "ft50*.csv").awaitTermination()
+    assert store.read("ft50_records").count() == 3 and store.read("datasets").where("status = 'failed'").count() == 1
 
 
 def test_review_loop(spark, tmp_path):
