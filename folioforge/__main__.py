@@ -11,7 +11,7 @@ from . import schemas
 from .operators import canonical, checks, ingest, resolve, review, state
 from .plans import views
 from .session import session
-from .sources import delimited
+from .sources import delimited, tables
 
 
 def _ingest(store: state.Store, args) -> None:
@@ -105,6 +105,12 @@ def _sql(store: state.Store, args) -> None:
     store.spark.sql(args.query).show(args.rows, truncate=False)
 
 
+def _pull(store: state.Store, args) -> None:
+    properties = dict(x.split("=", 1) for x in args.option)
+    for name, n in tables.pull(store, args.url, args.tables, **properties).items():
+        print(f"{name}: {n}")
+
+
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser("folioforge")
     out.add_argument("store", help="folder of the versioned tables")
@@ -125,6 +131,7 @@ def parser() -> argparse.ArgumentParser:
     command("apply-review", _apply, path={}, reviewer={"flag": True, "required": True}, stale_report={"flag": True})
     command("check", _check, kind={"choices": ["history", "duplicates", "drift", "dangling", "lineage", "coverage", "conflicts", "failures"]}, out={}, conflicts={"flag": True})
     command("reset", lambda store, args: print(f"version {ingest.reset_dataset(store, args.dataset, args.table)}"), dataset={"type": int}, table={"choices": sorted(schemas.RECORD_TABLES.values())})
+    command("pull", _pull, url={}, tables={"nargs": "*"}, option={"flag": True, "action": "append", "default": [], "metavar": "NAME=VALUE"})
     command("sql", _sql, query={}, rows={"flag": True, "type": int, "default": 100})
     return out
 

@@ -65,9 +65,9 @@ def seed(records: DataFrame, base: int = 0, identifiers: DataFrame | None = None
         taken = identifiers.where("identifier_type = 'ISSN'").select("normalized_value")
         conflicts = conflicts.unionByName(owned.join(taken, "normalized_value", "left_semi").withColumn("owner", F.lit(None).cast("string")))
         owned = owned.join(taken, "normalized_value", "left_anti")
-    by_source = ids.select("journal_id", F.lit("SCIMAGO_SOURCE_ID").alias("identifier_type"), F.col("sourceid").alias("identifier_value"), S.strip("sourceid").alias("normalized_value"))
-    by_issn = owned.join(ids, "sourceid").select("journal_id", F.lit("ISSN").alias("identifier_type"), "identifier_value", "normalized_value")
-    named = by_source.unionByName(by_issn).withColumns({"source_id": F.lit(source), "is_primary": F.lit(False)})
+    by_source = ids.select("journal_id", F.lit("SCIMAGO_SOURCE_ID").alias("identifier_type"), F.col("sourceid").alias("identifier_value"))
+    by_issn = owned.join(ids, "sourceid").select("journal_id", F.lit("ISSN").alias("identifier_type"), "identifier_value")
+    named = by_source.unionByName(by_issn).withColumns({"normalized_value": S.normalize_identifier("identifier_type", "identifier_value"), "source_id": F.lit(source), "is_primary": F.lit(False)})
     aliases = title_variants(records, made).join(ids, "sourceid").select("journal_id", F.explode("variants").alias("alias_name")).withColumn("normalized_alias", S.matching_title("alias_name"))
     aliases = state.insert_absent(spark.createDataFrame([], "journal_id long, normalized_alias string"), aliases, ("journal_id", "normalized_alias"), ["alias_name"]).withColumn("source_id", F.lit(source))
     linked = records.drop("journal_id").join(ids, "sourceid")
@@ -83,6 +83,14 @@ def seed(records: DataFrame, base: int = 0, identifiers: DataFrame | None = None
     }
 
 
+def update_journals(journals: DataFrame, changes: DataFrame, now: Column | None = None) -> DataFrame:
+    """journals with the columns of changes, which has id, replaced where it names them; updated_at tells when, even if nothing differs."""
+    columns = [c for c in changes.columns if c != "id"]
+    if lost := set(columns) - set(journals.columns) | {"created_at", "updated_at"} & set(columns):
+        raise ValueError(f"no columns to change: {sorted(lost)}")
+    return state.update_by_key(journals, changes, ["id"], columns, now if now is not None else F.current_timestamp(), "updated_at")
+
+
 def collided_source_ids(records: DataFrame, identifiers: DataFrame) -> DataFrame:
     """Source ids without an identifier of their own: what a repair would have to split off. Empty if the seed went by source id."""
     own = identifiers.where("identifier_type = 'SCIMAGO_SOURCE_ID'").select(F.col("normalized_value").alias("_own"))

@@ -44,6 +44,7 @@ def export_pending(store: state.Store, path: str, exported_at: Column | None = N
 
 
 def normalize_decision(value: Column | str) -> Column:
+    """A decision that a reviewer can take, whatever its case and the space around it; null for anything else."""
     text = F.lower(S.strip(value))
     return F.when(text.isin(*DECISIONS), text)
 
@@ -56,13 +57,13 @@ def parse_positive(value: Column | str) -> Column:
 def check_rows(rows: DataFrame) -> DataFrame:
     """rows that hold a decision, parsed, with their problems; a row with a blank decision is ignored."""
     decided = rows.where(~S.is_missing("decision"))
-    parsed = decided.withColumns({"candidate_id": parse_positive("candidate_id"), "source": F.upper(S.strip("source")), "source_record_id": parse_positive("source_record_id"), "candidate_journal_id": parse_positive("candidate_journal_id"), "csv_decision": F.lower(S.strip("decision"))})
+    parsed = decided.withColumns({"candidate_id": parse_positive("candidate_id"), "source": F.upper(S.strip("source")), "source_record_id": parse_positive("source_record_id"), "candidate_journal_id": parse_positive("candidate_journal_id"), "csv_decision": normalize_decision("decision")})
     tests = {
         "invalid_candidate_id": F.col("candidate_id").isNull(),
         "invalid_source": ~F.col("source").isin(*TABLE_OF),
         "invalid_source_record_id": F.col("source_record_id").isNull(),
         "invalid_candidate_journal_id": F.col("candidate_journal_id").isNull(),
-        "invalid_decision": ~F.col("csv_decision").isin(*DECISIONS),
+        "invalid_decision": F.col("csv_decision").isNull(),
     }
     found = F.array_compact(F.array(*[F.when(F.coalesce(t, F.lit(True)), F.lit(n)) for n, t in tests.items()]))
     return parsed.withColumn("problems", found)
@@ -84,7 +85,7 @@ def apply_decisions(store: state.Store, rows: DataFrame, reviewer: str, now: Col
     if not reviewer:
         raise ValueError("a reviewer is needed")
     now = now if now is not None else F.current_timestamp()
-    decided = check_rows(rows).persist()
+    decided = state.durable(check_rows(rows))
     if bad := decided.where(F.size("problems") > 0).limit(3).collect():
         raise ValueError(f"malformed rows: {[(r.candidate_id, r.problems) for r in bad]}")
     if bad := group_conflicts(decided).limit(3).collect():
@@ -108,7 +109,7 @@ def apply_decisions(store: state.Store, rows: DataFrame, reviewer: str, now: Col
     fresh = wanted.where("known is null").groupBy("key").agg(F.min("title").alias("canonical_title"))
     made = state.next_ids(fresh, ["key"], journals.agg(F.max("id")).first()[0] or 0)
     named = wanted.join(made.select("key", F.col("id").alias("made")), "key", "left")
-    final = (
+    final = state.durable(
         accepted.select(*C.REFERENCE, F.col("candidate_journal_id").alias("journal_id"), F.lit("manually_confirmed").alias("match_method"), F.col("similarity").alias("confidence"), F.lit("manually_confirmed").alias("decision"))
         .unionByName(named.select(*C.REFERENCE, F.coalesce("known", "made").alias("journal_id"), F.lit("new_journal").alias("match_method"), F.lit(1).cast("decimal(5,4)").alias("confidence"), F.lit("new_journal").alias("decision")))
         .unionByName(one.where("csv_decision = 'rejected_no_match'").select(*C.REFERENCE, F.lit(None).cast("long").alias("journal_id"), F.lit("rejected_no_match").alias("match_method"), F.lit(None).cast("decimal(5,4)").alias("confidence"), F.lit("rejected_no_match").alias("decision")))

@@ -285,6 +285,17 @@ def collision_repair(spark, sf_dir):
     return changed["scimago_records"].groupBy("sourceid").agg(F.min("journal_id").alias("journal_id"), F.count("*").alias("records"))
 
 
+@_query(
+    "SELECT c_custkey AS id, CASE WHEN n IS NULL THEN c_name ELSE 'renamed ' || n END AS canonical_title, CASE WHEN n IS NULL THEN 2020 ELSE 2026 END::INT AS updated FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) ON o_custkey = c_custkey"
+)
+def journal_updates(spark, sf_dir):
+    """Customers as journals, those with finished orders changed: whatever is hit is stamped."""
+    journals = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("canonical_title"), F.lit("x").alias("normalized_title"), F.lit("2020-01-01").cast("timestamp").alias("updated_at"))
+    changes = _t(spark, sf_dir, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("id")).agg(F.concat(F.lit("renamed "), F.count("*")).alias("canonical_title"))
+    changed = canonical.update_journals(schemas.conform(journals, "journals"), changes, F.lit("2026-01-01").cast("timestamp"))
+    return changed.select("id", "canonical_title", F.year("updated_at").alias("updated"))
+
+
 # --- resolution and review of a whole source -----------------------------------------------------------------------------
 
 
