@@ -383,3 +383,87 @@ def journal_summary(spark, sf_dir):
     rated = _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("journal_id"), (F.col("event_id") % 7).alias("rating_year"), F.when(F.col("event_type") == "click", "A").otherwise("B").alias("rating"), F.lit("").alias("for_code"), F.lit("").alias("for_scheme"), (F.col("event_id") % 3).alias("dataset_id"))
     journals = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("canonical_title"), F.col("c_mktsegment").alias("publisher"))
     return views.journal_summary(journals, orders, rated, _t(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 3).alias("journal_id")))
+
+
+_ORDER_ROWS = "SELECT o_orderkey AS id, o_custkey AS journal_id, o_orderpriority AS subject_area, year(o_orderdate)::INT AS year, (o_totalprice / 1000)::DECIMAL(10,3) AS sjr, o_orderstatus AS s FROM orders"
+
+
+@_query(f"SELECT DISTINCT ON (journal_id, subject_area) journal_id, subject_area, year, sjr, id FROM ({_ORDER_ROWS}) WHERE NOT (s = 'P' AND year < 1996) ORDER BY journal_id, subject_area, year DESC, sjr DESC, id DESC")
+def current_merged(spark, sf_dir):
+    """The current rows of older orders, with later ones merged in and some of the older taken away: as if made of all that are left."""
+    rows = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("journal_id"), F.col("o_orderpriority").alias("subject_area"), F.year("o_orderdate").alias("year"), F.round(F.col("o_totalprice") / 1000, 3).cast("decimal(10,3)").alias("sjr"), F.col("o_orderstatus").alias("s"))
+    old, added, taken = rows.where("year < 1996"), rows.where("year >= 1996"), F.col("s") == "P"
+    state_ = state.durable(views.current(old, "SCIMAGO"))
+    return views.merged_current(state_, "SCIMAGO", added, old.where(taken), old.where(~taken)).select("journal_id", "subject_area", "year", "sjr", "id")
+
+
+# --- title-only sources, coverage, reports as files ----------------------------------------------------------------------
+
+
+@_query(
+    "WITH c AS (SELECT c_custkey + 1 AS id, c_nationkey % 8 AS n, (c_custkey + 1) % 4 AS kind, s FROM customer, (VALUES ('REPEC'), ('FT50')) v(s)), made AS (SELECT s, n, (SELECT max(s_suppkey) FROM supplier) + row_number() OVER (PARTITION BY s ORDER BY min(id)) AS j, min(id) AS maker FROM c WHERE kind = 1 GROUP BY s, n) "
+    "SELECT s AS source, id, CASE kind WHEN 0 THEN n + 1 WHEN 1 THEN j END::BIGINT AS journal_id, CASE kind WHEN 0 THEN 'exact_title' WHEN 1 THEN CASE WHEN id = maker THEN 'new_journal' ELSE 'exact_title' END WHEN 2 THEN 'fuzzy_title' END AS match_method, CASE kind WHEN 2 THEN (0.96875)::DECIMAL(5,4) END AS similarity, CASE WHEN kind = 3 THEN 'no_usable_title' END AS reason FROM c LEFT JOIN made USING (s, n)"
+)
+def resolve_titles(spark, sf_dir):
+    """The two sources without identifiers: customers as records with a journal's title, a new one that repeats, one with a letter changed, and none."""
+    key, nation, dimension, out = F.col("c_custkey") + 1, F.col("c_nationkey") % 8, _dimension(spark, sf_dir), None
+    title = F.md5((nation + 1).cast("string"))
+    near = F.concat(F.substring(title, 1, 31), F.lit("z"))
+    for source, name in (("REPEC", "journal_name_clean"), ("FT50", "journal_name")):
+        records = _t(spark, sf_dir, "customer").select(key.alias("id"), F.when(key % 4 == 0, title).when(key % 4 == 1, F.md5(F.concat(F.lit("new"), nation))).when(key % 4 == 2, near).otherwise("!").alias(name))
+        changed = resolve.resolve_source(state.Frames(spark, **{schemas.RECORD_TABLES[source]: records}, **dimension), source)
+        decided = changed["entity_match_decisions"].select(F.col("source_record_id").alias("id"), "match_method")
+        waiting = changed["entity_match_candidates"].where("review_status = 'pending'").select(F.col("source_record_id").alias("id"), F.col("match_method").alias("method"), "similarity")
+        failed = changed["resolution_failures"].select(F.col("source_record_id").alias("id"), "reason")
+        part = changed[schemas.RECORD_TABLES[source]].select("id", "journal_id").join(decided, "id", "left").join(waiting, "id", "left").join(failed, "id", "left")
+        part = part.select(F.lit(source).alias("source"), "id", "journal_id", F.coalesce("match_method", "method").alias("match_method"), "similarity", "reason")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@_query(
+    "SELECT CASE c_nationkey % 5 WHEN 0 THEN 'SCIMAGO' WHEN 1 THEN 'ABDC' WHEN 2 THEN 'ABS' WHEN 3 THEN 'REPEC' ELSE 'FT50' END AS source_code, count(*)::BIGINT AS total, count(*) FILTER (WHERE c_custkey % 6 IN (0, 1))::BIGINT AS accepted, count(*) FILTER (WHERE c_custkey % 6 = 2)::BIGINT AS new_journal, count(*) FILTER (WHERE c_custkey % 6 = 3)::BIGINT AS rejected_no_match, count(*) FILTER (WHERE c_custkey % 6 > 3)::BIGINT AS pending, true AS adds_up "
+    "FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1"
+)
+def coverage_run(spark, sf_dir):
+    """Customers as records of the five sources, those of one segment in datasets that failed to load, with decisions of every kind."""
+    key, of = F.col("c_custkey"), F.col("c_nationkey") % 5
+    rows = _t(spark, sf_dir, "customer").select(key.alias("id"), of.alias("of"), (of * 2 + (F.col("c_mktsegment") == "MACHINERY").cast("int")).cast("long").alias("dataset_id"))
+    datasets = spark.range(10).select("id", F.when(F.col("id") % 2 == 0, "loaded").otherwise("failed").alias("status"))
+    tables = {table: rows.where(F.col("of") == k) for k, table in enumerate(schemas.RECORD_TABLES.values())}
+    decision = F.when(key % 6 == 0, "accepted").when(key % 6 == 1, "manually_confirmed").when(key % 6 == 2, "new_journal").when(key % 6 == 3, "rejected_no_match")
+    table = F.element_at(F.array(*map(F.lit, schemas.RECORD_TABLES.values())), (of + 1).cast("int"))
+    decisions = _t(spark, sf_dir, "customer").select(table.alias("source_record_table"), key.alias("source_record_id"), decision.alias("decision")).where("decision is not null")
+    return checks.coverage_of(state.Frames(spark, datasets=datasets, entity_match_decisions=decisions, **tables))
+
+
+@_query(
+    "SELECT 'new' AS form, 'v' || p_size AS identifier, string_agg(p_partkey::VARCHAR, ',' ORDER BY p_partkey) AS journal_ids FROM part GROUP BY p_size "
+    "UNION ALL SELECT 'old', 'v' || p_size, string_agg(DISTINCT j::VARCHAR, ',' ORDER BY j::VARCHAR) FROM (SELECT p_size, unnest([min(p_partkey), max(p_partkey)]) AS j FROM part GROUP BY p_size) GROUP BY p_size"
+)
+def conflict_reports(spark, sf_dir):
+    """Parts of a size as the journals of a conflict, written in both forms of the report and read back."""
+    folder, out = _folder(spark), None
+    groups = _t(spark, sf_dir, "part").groupBy("p_size").agg(F.array_sort(F.collect_list("p_partkey")).alias("ids"), F.min("p_partkey").alias("low"), F.max("p_partkey").alias("high"))
+    new = groups.select(F.lit("new").alias("file"), F.concat(F.lit("v"), "p_size").alias("identifier"), F.array_join(F.reverse(F.col("ids")).cast("array<string>"), ";").alias("journal_ids"), F.lit("line one\nline two").alias("message"))
+    old = groups.select(F.lit("old").alias("file"), F.concat(F.lit("v"), "p_size").alias("normalized_issn"), F.concat(F.lit("claimed by journal "), "high", F.lit(", kept by journal_id="), "low").alias("message"))
+    for form, df, order in (("new", new, "identifier"), ("old", old, "normalized_issn")):
+        _csv_files(df, f"{folder}/{form}", "file", order)
+        read = delimited.read_conflict_csv(spark, f"{folder}/{form}/{form}.csv")
+        ids = F.col("journal_ids") if form == "new" else F.array_sort(F.col("journal_ids").cast("array<string>"))
+        part = read.select(F.lit(form).alias("form"), "identifier", F.array_join(ids.cast("array<string>"), ",").alias("journal_ids"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@_query(
+    "SELECT c_custkey + 1 AS candidate_id, array_to_string(list_filter([CASE WHEN c_nationkey = 3 THEN 'invalid_source' END, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'invalid_decision' END], lambda x: x IS NOT NULL), ',') AS problems FROM customer WHERE c_mktsegment <> 'BUILDING'"
+)
+def review_file(spark, sf_dir):
+    """Customers as rows of a reviewer's file, with line breaks and columns of the reviewer's own, read back and checked."""
+    key = (F.col("c_custkey") + 1).cast("string")
+    decision = F.when(F.col("c_mktsegment") == "BUILDING", " ").when(F.col("c_mktsegment") == "MACHINERY", "perhaps").otherwise("Accepted ")
+    rows = _t(spark, sf_dir, "customer").select(F.lit("queue").alias("file"), key.alias("candidate_id"), F.when(F.col("c_nationkey") == 3, "NONE").otherwise("ft50").alias("source"), key.alias("source_record_id"), F.lit("8").alias("candidate_journal_id"), decision.alias("decision"), F.concat("c_name", F.lit('\nsaid "so", twice')).alias("note"))
+    folder = _folder(spark)
+    _csv_files(rows, folder, "file", "candidate_id")
+    return review.check_rows(delimited.read_review_csv(spark, f"{folder}/queue.csv")).select("candidate_id", F.array_join("problems", ",").alias("problems"))

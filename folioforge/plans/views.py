@@ -12,14 +12,43 @@ def latest(rows: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return rows.where(F.col(key[0]).isNotNull()).withColumn("_place", place).where("_place = 1").drop("_place")
 
 
+# How the current row of a key is told, for the views of one row a journal (and area).
+SCIMAGO_KEY, SCIMAGO_ORDER = ["journal_id", "subject_area"], [F.desc_nulls_first, "year", F.desc_nulls_last, "sjr", F.desc, "id"]
+ABDC_KEY, ABDC_ORDER = ["journal_id"], [F.desc_nulls_first, "rating_year", F.desc_nulls_first, "dataset_id", F.desc, "id"]
+
+
+def _ordered(order: list) -> list[Column]:
+    return [way(column) for way, column in zip(order[::2], order[1::2], strict=True)]
+
+
+def current(records: DataFrame, source: str) -> DataFrame:
+    """The current record of each journal (SCIMAGO: and area), with all its columns, so that more records can be merged into it."""
+    key, order = (SCIMAGO_KEY, SCIMAGO_ORDER) if source == "SCIMAGO" else (ABDC_KEY, ABDC_ORDER)
+    return latest(records, key, _ordered(order))
+
+
+def merged_current(state: DataFrame, source: str, added: DataFrame, gone: DataFrame | None = None, left: DataFrame | None = None) -> DataFrame:
+    """current() of all records, from current() of the older ones and those added.
+
+    Of the older records none is read, unless some are gone: then left, the records that are left, is read for the
+    journals that the gone ones had, and for no other.
+    """
+    if gone is None:
+        return current(state.unionByName(added.select(*state.columns)), source)
+    if left is None:
+        raise ValueError("the records that are left are needed to replace those that are gone")
+    touched = gone.where("journal_id is not null").select("journal_id").distinct()
+    kept = state.join(touched, "journal_id", "left_anti").select(*state.columns)
+    anew = left.join(touched, "journal_id", "left_semi").select(*state.columns)
+    return current(kept.unionByName(anew).unionByName(added.select(*state.columns)), source)
+
+
 def scimago_latest(records: DataFrame) -> DataFrame:
-    found = latest(records, ["journal_id", "subject_area"], [F.desc_nulls_first("year"), F.desc_nulls_last("sjr"), F.desc("id")])
-    return found.select("journal_id", "subject_area", "year", "sjr", "sjr_best_quartile", "h_index", F.col("id").alias("scimago_record_id"))
+    return current(records, "SCIMAGO").select("journal_id", "subject_area", "year", "sjr", "sjr_best_quartile", "h_index", F.col("id").alias("scimago_record_id"))
 
 
 def abdc_latest(records: DataFrame) -> DataFrame:
-    found = latest(records, ["journal_id"], [F.desc_nulls_first("rating_year"), F.desc_nulls_first("dataset_id"), F.desc("id")])
-    return found.select("journal_id", "rating_year", "rating", "for_code", "for_scheme", "dataset_id")
+    return current(records, "ABDC").select("journal_id", "rating_year", "rating", "for_code", "for_scheme", "dataset_id")
 
 
 def flags(base: DataFrame, key: str, present: dict[str, DataFrame]) -> DataFrame:

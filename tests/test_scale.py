@@ -100,3 +100,28 @@ def test_invariants_find_what_is_broken(spark):
     refs = spark.createDataFrame([("scimago_records", k) for k in range(4)] + [("other", 9)], "source_record_table string, source_record_id long")
     found = {r.invariant: r.violations for r in canonical.invariants(records, journals, identifiers, refs, refs.limit(0)).collect()}
     assert found == {"one identifier a source id": 2, "one journal a source id": 1, "records agree with identifiers": 1, "every record linked": 1, "a mapping and a decision a record": 1 + 5, "journals cover the source ids": 2}
+
+
+def test_current_rows_are_merged(spark):
+    """After every import and reset the merged rows are those of all records; records of other journals aren't read."""
+    from folioforge.plans import views
+
+    rng, schema = random.Random(4), "id long, journal_id long, subject_area string, year int, sjr double, dataset_id long"
+    make = lambda ids, dataset: [(k, rng.choice([None, *range(12)]), rng.choice("AB"), rng.choice([None, 2019, 2020, 2021]), rng.choice([None, 1.0, 2.0]), dataset) for k in ids]
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    rows = make(range(100), 1)
+    kept = views.current(frame(rows), "SCIMAGO")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    for dataset in range(2, 5):
+        added = make(range(100 * dataset, 100 * dataset + 60), dataset)
+        gone = [r for r in rows if r[5] == dataset - 2]
+        left = [r for r in rows if r[5] != dataset - 2]
+        if gone:
+            touched = {r[1] for r in gone}
+            kept = state.durable(views.merged_current(kept, "SCIMAGO", frame(added), frame(gone), frame([r for r in left if r[1] in touched])))
+        else:
+            kept = state.durable(views.merged_current(kept, "SCIMAGO", frame(added)))
+        rows = left + added
+        assert same(kept, views.current(frame(rows), "SCIMAGO"))
+    with pytest.raises(ValueError):
+        views.merged_current(kept, "SCIMAGO", kept, kept)
