@@ -53,6 +53,28 @@ def _plain_pattern() -> re.Pattern:
     return re.compile(f"[{kinds['L']}]+|'s|'t|'re|'ve|'m|'ll|'d|[{kinds['N']}]|[^{space}{kinds['L']}{kinds['N']}]+")
 
 
+# How a file's texts are normalized and cut into words, and what else its model does; words are found here in the same way.
+WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+SUPPORTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": WORDS}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "decoder": None,
+}
+SUPPORTED_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+
+
+def parsed(source: str) -> dict:
+    """A tokenizer file's content; an error if it asks for anything that isn't done here, so that no id is wrong in silence."""
+    spec = json.loads(source)
+    model = spec.get("model") or {}
+    other = [k for k, v in SUPPORTED.items() if spec.get(k) != v] + [f"model.{k}" for k, v in SUPPORTED_MODEL.items() if (model.get(k) or None) != (v or None)]
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in spec.get("added_tokens") or []):
+        other.append("added_tokens")
+    if other:
+        raise ValueError(f"not supported in a tokenizer file: {', '.join(other)}")
+    return spec
+
+
 class _Words(dict):
     """Ids of words; a missing one is encoded. When full, its words become the older generation and are looked up there."""
 
@@ -72,13 +94,11 @@ class _Words(dict):
 
 class Bpe:
     def __init__(self, source: str):
-        spec = json.loads(source)
+        spec = parsed(source)
         model = spec["model"]
-        self.suffix = model["end_of_word_suffix"] or ""
+        self.suffix = model.get("end_of_word_suffix") or ""
         self.source, self.vocab = source, model["vocab"]
-        if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec["added_tokens"]):
-            raise ValueError("added tokens that take in space or stand for whole words only are not supported")
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
         self.token_of = {i: t for t, i in [*self.vocab.items(), *special.items()]}
         self.special = special
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
@@ -182,8 +202,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     """
     with open(path, encoding="utf-8") as file:
         source = file.read()
-    if re.search(r'"decoder"\s*+:\s*+(?!null)', source):
-        raise ValueError("only tokenizer files without a decoder are supported")
+    parsed(source)
     key = hashlib.sha256(source.encode()).hexdigest()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -32,6 +32,8 @@ DIMENSIONS = 4096
 UNDETERMINED = "und"
 #: A text may have this share of the margin that ordinary documents have; and how many of them it takes to know theirs.
 LOOSENESS, LEAST_CALIBRATION = 0.5, 25
+#: Languages that are learned: all pairs of a family get a machine.
+MAX_LANGUAGES = 64
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII but letters to a space; other bytes stay.
 _LETTERS = np.array([c if c >= 128 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
@@ -168,14 +170,17 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500) -> DataFrame | None:
+def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, max_languages: int = MAX_LANGUAGES) -> DataFrame | None:
     """lang, draw and x, features as half floats, of at most per_language documents a language; None if nothing is labelled.
 
+    Of more than max_languages values of lang the most frequent are learned, equal ones in their order; the others' documents
+    teach nothing and are predicted as one of those learned.
+
     Documents are drawn by a hash of id and text, so that rows without an id, or with a common one, are drawn like others.
     The executors cut to per_language, after rows that repeat another are left out.
     """
     labelled = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out(id_col).alias("held_out")).where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     if not counts:
         return None
     out_of = 1 << 30
@@ -192,14 +197,14 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return map_arrow(sample, run, "lang string, draw long, x binary").distinct().withColumn("place", place).where(F.col("place") <= per_language).drop("place")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500) -> Model:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, max_languages: int = MAX_LANGUAGES) -> Model:
     """Learn from text and lang of the documents that aren't held out.
 
-    Of each language about per_language documents, and no more, are drawn by training_sample(): the one bound on
-    training. Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`.
+    Of each of max_languages languages about per_language documents, and no more, are drawn by training_sample(): the
+    bounds on training. Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`.
     The model's least_margin is fitted on the same sample.
     """
-    drawn = training_sample(docs, id_col, text_col, lang_col, per_language)
+    drawn = training_sample(docs, id_col, text_col, lang_col, per_language, max_languages)
     if drawn is None:
         return Model(None, {})
     rows = sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, bytes(r.x)))

@@ -56,6 +56,12 @@ def write_png(samples: np.ndarray) -> bytes:
     return SIGNATURE + _chunk(b"IHDR", header) + _chunk(b"IDAT", b"".join([*packed, pack.flush()])) + _chunk(b"IEND", b"")
 
 
+#: Rows with a filter of two neighbours that are undone by diagonals; fewer are undone byte by byte.
+WAVE_ROWS = 8
+#: Bytes of samples, rows' filters included, up to which an image is read.
+LARGEST_IMAGE = 1 << 30
+
+
 def chunks(data: bytes):
     """(kind, data) of each chunk; an error for a wrong signature, length or checksum."""
     if data[:8] != SIGNATURE:
@@ -77,6 +83,27 @@ def chunks(data: bytes):
     raise ValueError("no end chunk")
 
 
+def _by_waves(out: np.ndarray, a: int, b: int, kind: int, channels: int) -> None:
+    """Undo filter 3 or 4 of rows a to b: a sample needs those to its left and above, so all of a diagonal go at once."""
+    rows, width = b - a, out.shape[1] // channels
+    raw = out[a:b].reshape(rows, width, channels).astype(np.int16)
+    done = np.zeros((rows + 1, width + 1, channels), np.int16)  # with the row above and a column of zeros
+    if a:
+        done[0, 1:] = out[a - 1].reshape(width, channels)
+    for d in range(rows + width - 1):
+        y = np.arange(max(0, d - width + 1), min(rows, d + 1))
+        x = d - y
+        left, up = done[y + 1, x], done[y, x + 1]
+        if kind == 3:
+            guess = (left + up) // 2
+        else:
+            corner = done[y, x]
+            p, q, r = np.abs(up - corner), np.abs(left - corner), np.abs(left + up - 2 * corner)
+            guess = np.where((p <= q) & (p <= r), left, np.where(q <= r, up, corner))
+        done[y + 1, x + 1] = raw[y, x] + guess & 255
+    out[a:b] = done[1:, 1:].reshape(rows, -1)
+
+
 def unfilter(lines: np.ndarray, channels: int) -> np.ndarray:
     """Undo the filters of rows that each start with a filter's number; runs of equal simple filters go at once."""
     filters, out = lines[:, 0], lines[:, 1:].copy()
@@ -86,7 +113,7 @@ def unfilter(lines: np.ndarray, channels: int) -> np.ndarray:
     for a, b in zip(edges, edges[1:], strict=False):
         if a == b:
             continue
-        kind = filters[a]
+        kind = int(filters[a])
         if kind == 1:
             block = out[a:b].reshape(b - a, -1, channels)
             out[a:b] = np.cumsum(block, axis=1, dtype=np.uint8).reshape(b - a, -1)
@@ -94,6 +121,8 @@ def unfilter(lines: np.ndarray, channels: int) -> np.ndarray:
             if a:
                 out[a] += out[a - 1]
             out[a:b] = np.cumsum(out[a:b], axis=0, dtype=np.uint8)
+        elif kind > 2 and b - a >= WAVE_ROWS:
+            _by_waves(out, a, b, kind, channels)
         elif kind > 2:
             for y in range(a, b):
                 row = out[y].astype(np.int64).tolist()
@@ -121,9 +150,17 @@ def read_png(data: bytes) -> np.ndarray:
     if header is None or header[2] != 8 or header[3] not in _CHANNELS or any(header[4:]):
         raise ValueError("only 8-bit images without palette or interlace are read")
     width, height, channels = header[0], header[1], _CHANNELS[header[3]]
-    lines = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8)
-    if len(lines) != height * (width * channels + 1):
+    size = height * (width * channels + 1)
+    if size > LARGEST_IMAGE:
+        raise ValueError("the image is too large")
+    # Inflated to what the header tells and not beyond it.
+    engine = zlib.decompressobj()
+    raw = engine.decompress(b"".join(body), size + 1)
+    if len(raw) == size and not engine.eof:
+        raw += engine.decompress(engine.unconsumed_tail, 1)
+    if len(raw) != size or not engine.eof:
         raise ValueError("the image data has a wrong size")
+    lines = np.frombuffer(raw, np.uint8)
     return unfilter(lines.reshape(height, -1), channels).reshape(height, width, channels)
 
 

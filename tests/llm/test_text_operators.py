@@ -131,6 +131,23 @@ def test_bpe_query(docs, rows, pair):
     assert rows(bpe.encode_decode(docs([]), bpe.default_path(), with_ids=False)) == []
 
 
+def test_other_tokenizer_files_are_refused(docs, tmp_path):
+    """What isn't done as the file asks is an error; a token that is called like a setting isn't."""
+    import json
+    import pathlib
+
+    spec = json.loads(pathlib.Path(bpe.default_path()).read_text())
+    model = {"vocab": {"a": 0, "decoder": 1, "a</w>": 2}, "merges": []}
+    small = spec | {"added_tokens": [], "model": spec["model"] | model}
+    assert bpe.Bpe(json.dumps(small)).encode("A a") == [2, 2]
+    changes = [{"normalizer": None}, {"pre_tokenizer": None}, {"decoder": {"type": "BPEDecoder", "suffix": "</w>"}}, {"added_tokens": [{"content": "x", "id": 9, "lstrip": True}]}]
+    changes += [{"model": small["model"] | x} for x in ({"ignore_merges": True}, {"byte_fallback": True}, {"unk_token": "a"}, {"continuing_subword_prefix": "##"}, {"dropout": 0.1}, {"type": "Unigram"})]
+    for change in changes:
+        (tmp_path / "t.json").write_text(json.dumps(small | change))
+        with pytest.raises(ValueError, match="not supported"):
+            bpe.encode_decode(docs(), str(tmp_path / "t.json"))
+
+
 # --- fingerprints -------------------------------------------------------------------------------------------------------
 
 
@@ -423,6 +440,38 @@ def test_damaged_images_have_a_problem(spark, rows):
     assert all(found[-1][c] is None for c in ("problem", "media_bytes", "feature"))
 
 
+def test_filters_undone_by_diagonals(monkeypatch):
+    """Runs of rows with filters of two neighbours, of any shape and number of channels: the same as byte by byte."""
+    rng = np.random.default_rng(6)
+    for rows_, width, channels in ((1, 1, 1), (9, 1, 3), (12, 40, 1), (30, 7, 4), (25, 64, 3)):
+        lines = rng.integers(0, 256, (rows_, 1 + width * channels), dtype=np.uint8)
+        lines[:, 0] = np.repeat(rng.integers(0, 5, rows_), rng.integers(1, 14, rows_))[:rows_]
+        monkeypatch.setattr(media, "WAVE_ROWS", 1)
+        waves = media.unfilter(lines, channels)
+        monkeypatch.setattr(media, "WAVE_ROWS", 1 << 30)
+        assert np.array_equal(waves, media.unfilter(lines, channels))
+
+
+def test_images_inflate_to_their_size_alone():
+    """Data beyond what the header tells, or cut off before it, is an error, and no more than that is made of it."""
+    import struct
+    import tracemalloc
+
+    def image(height, data):
+        return media.SIGNATURE + media._chunk(b"IHDR", struct.pack(">IIBBBBB", 6, height, 8, 2, 0, 0, 0)) + media._chunk(b"IDAT", data) + media._chunk(b"IEND", b"")
+
+    assert media.read_png(image(3, zlib.compress(bytes(57)))).shape == (3, 6, 3)
+    bomb = zlib.compress(bytes(200 << 20))
+    tracemalloc.start()
+    for bad in (bomb, zlib.compress(bytes(58)), zlib.compress(bytes(56)), zlib.compress(bytes(57))[:-3]):
+        with pytest.raises(ValueError, match="wrong size"):
+            media.read_png(image(3, bad))
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+    with pytest.raises(ValueError, match="too large"):
+        media.read_png(image(1 << 30, bomb))
+
+
 def test_long_images_are_written_in_slabs(monkeypatch):
     payload = media.payload_of("abc déf " * 3000)[0]
     whole = media.as_png(payload)
@@ -443,6 +492,18 @@ def test_media_query(docs, rows):
     assert rows(media.media_features(media.media_column(docs([])))) == []
 
 
+def test_languages_are_bounded(spark):
+    """Of many values of lang the most frequent are learned; the others' texts get one of these."""
+    texts = {f"l{k:02}": f"{'abcdefghijklmnopqrstuvwxyz'[k % 26] * 3} word{k} " * 6 for k in range(12)}
+    rows_ = [(100 * k + i, t + f" {i}", lang) for k, (lang, t) in enumerate(texts.items()) for i in range(6 + 6 * (k < 3))]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    model = language_id.train(docs, max_languages=3)
+    found = {r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert found <= {"l00", "l01", "l02"} and len(found) > 1
+    one = language_id.train(docs, max_languages=1)
+    assert len({r.lang_pred for r in language_id.predict(docs, one).collect()} & {"l00", "l01", "l02"}) == 1
+
+
 # --- secrets ------------------------------------------------------------------------------------------------------------
 
 
