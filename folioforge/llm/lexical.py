@@ -35,8 +35,6 @@ SEGMENT_ROWS, SEGMENT_BYTES = 4096, 32 << 20
 ITEMS_A_PASS, MOST_TERMS = 2000, 500_000
 #: Scaled values of the score.
 IMPACT, BASE, SHARE, FACTOR = 1_000_000_000, 75, 25, 12
-#: A term is a longest run of none of these.
-TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _NO_ID = (1 << 63) - 1
 _FOLD = bytes(x + 32 if 65 <= x <= 90 else x if x >= 128 or 48 <= x <= 57 or 97 <= x <= 122 else 32 for x in range(256))
 _INDEX = "ids binary, m binary, terms array<binary>, dfs binary, starts binary, firsts binary, lasts binary, tops binary, offsets binary, data binary"
@@ -169,9 +167,14 @@ def rank_segment(seg: Segment, weighted: dict[bytes, int], best: Best) -> None:
 
 def statistics(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
     """(documents with a term, terms of all documents with repeats)."""
-    n = F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit(TERM)).cast("long")
-    row = docs.select(n.alias("n")).where("n > 0").agg(F.count("*"), F.sum("n")).first()
-    return row[0], row[1] or 0
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lengths = [len(terms_of(t.as_py())) for t in batch.column("text")]
+        return pa.RecordBatch.from_arrays([pa.array([sum(map(bool, lengths))], pa.int64()), pa.array([sum(lengths)], pa.int64())], ["n", "total"])
+
+    each = map_arrow(docs.select(F.col(f"`{text_col}`").cast("string").alias("text")), count, "n long, total long")
+    row = each.agg(F.sum("n"), F.sum("total")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def build_index(docs: DataFrame, stats: tuple[int, int], only: frozenset[bytes] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -195,7 +195,7 @@ SELECT vec_id, n::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(cl
 def _lexical_sql() -> str:
     """Terms one a row; every item's terms joined with all documents that hold them."""
     x = lexical
-    terms = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{x.TERM}')"
+    terms = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
     return f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {terms} AS ts FROM documents),
 total AS (SELECT count(*)::BIGINT AS n, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
