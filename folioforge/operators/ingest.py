@@ -93,7 +93,7 @@ def _gather(spark: SparkSession, source: str, paths: list[str]) -> _Batch:
         try:
             if source == "FT50":
                 delimited.require_ft50(rows)
-            records = TRANSFORMS[source](rows, sheet)
+            records = state.durable(TRANSFORMS[source](rows, sheet))  # parsed once; what follows plans from here
             good, bad, _ = split_records(records, source)
             lines = records.select("_file", "_row_number", "raw_json").distinct() if source != "ABS" else rows.select("_file", "_row_number", S.row_json(raw_columns(rows)).alias("raw_json"))
         except ValueError as error:
@@ -103,6 +103,7 @@ def _gather(spark: SparkSession, source: str, paths: list[str]) -> _Batch:
         out.raw, out.valid, out.rejected = (new if old is None else old.unionByName(new, allowMissingColumns=True) for old, new in ((out.raw, lines), (out.valid, good), (out.rejected, bad)))
     out.failed.update(dict.fromkeys(set(paths) - set(out.names.values()) - set(out.failed), "no line"))
     if out.valid is not None:
+        out.raw, out.valid, out.rejected = map(state.durable, (out.raw, out.valid, out.rejected))
         has = {c.lower() for c in out.valid.columns}
         typed = out.valid.select("_file", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.TABLES[table].schema if f.name.lower() in has])
         for r in typed.where(schemas.unsound(table, typed.columns)).groupBy("_file").agg(F.count("*").alias("n")).collect():  # one row a file
@@ -181,7 +182,7 @@ def _numbered_tables(store: state.Store, source: str, batch: _Batch, files: dict
     sizes = lines.groupBy("raw_file_id").agg(F.count("*").alias("_n"))
     before = Window.orderBy("raw_file_id").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     offsets = sizes.select("raw_file_id", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + top("raw_rows")).alias("_before"))
-    raw_rows = state.durable(lines.join(offsets, "raw_file_id").select("_file", (F.col("_before") + F.col("_row_number")).alias("id"), "raw_file_id", "dataset_id", F.col("_row_number").alias("row_number"), F.col("raw_json").alias("raw_data")))
+    raw_rows = lines.join(offsets, "raw_file_id").select("_file", (F.col("_before") + F.col("_row_number")).alias("id"), "raw_file_id", "dataset_id", F.col("_row_number").alias("row_number"), F.col("raw_json").alias("raw_data"))
     table = schemas.RECORD_TABLES[source]
     order = ["raw_row_id", *[k for k in RECORD_KEYS[source] if k.endswith("year")]]
     valid = batch.valid.withColumnRenamed("_row_number", "row_number").join(raw_rows.select("_file", "row_number", F.col("id").alias("raw_row_id"), "dataset_id"), ["_file", "row_number"])
