@@ -1,22 +1,26 @@
 """Language ID by hierarchical discrimination.
 
 A text's hashed byte trigrams are first told apart by language family, then, within the family, by language. Both
-levels are one-versus-one linear support vector machines, trained here by dual coordinate descent on a bounded sample of
-labelled documents; the workers turn whole texts into features, and the driver holds no more than the sample's.
+levels are one-versus-one linear support vector machines with squared hinge loss, trained here on all labelled documents:
+the workers turn whole texts into features, which they keep on disk, and sum up losses and gradients over them; the driver
+takes the steps of limited-memory BFGS and holds what belongs to the machines alone.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
+from collections import deque
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import bound_batches, give_back, map_arrow
 
 # Families of languages by code. A language that isn't named is a family of its own.
 FAMILIES = {
@@ -34,6 +38,8 @@ UNDETERMINED = "und"
 LOOSENESS, LEAST_CALIBRATION = 0.5, 25
 #: Languages that are learned: all pairs of a family get a machine.
 MAX_LANGUAGES = 64
+#: What a machine's two classes weigh in its loss, half of it each, against half its squared length; machines that learn at a time, which bounds what the driver holds of them.
+STRENGTH, BLOCK = 10_000.0, 512
 _LETTER = re.compile(r"[^\W\d_]")
 #: ASCII but letters to a space; other bytes stay.
 _LETTERS = np.array([c if c >= 128 or 65 <= c <= 90 or 97 <= c <= 122 else 32 for c in range(256)], np.uint8)
@@ -61,24 +67,108 @@ def features(text: str) -> np.ndarray:
     return out
 
 
-def train_svm(positive: np.ndarray, negative: np.ndarray, c: float = 10.0, rounds: int = 12) -> np.ndarray:
-    """Weights of a linear support vector machine with hinge loss, by dual coordinate descent in a fixed order."""
-    x = np.concatenate([positive, negative]).astype(np.float32, copy=False)
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-    costs = np.where(y > 0, c * len(y) / (2 * max(len(positive), 1)), c * len(y) / (2 * max(len(negative), 1)))
-    w, alpha, norms = np.zeros(x.shape[1], np.float32), np.zeros(len(y)), np.einsum("ij,ij->i", x, x) + 1e-12
-    order = np.random.default_rng(7)
-    for _ in range(rounds):
-        moved = 0.0
-        for i in order.permutation(len(y)):
-            step = min(max(alpha[i] - (y[i] * float(w @ x[i]) - 1) / norms[i], 0.0), costs[i]) - alpha[i]
-            if step:
-                alpha[i] += step
-                w += np.float32(step * y[i]) * x[i]
-                moved = max(moved, abs(step))
-        if moved < 1e-3:
+def pack(x: np.ndarray) -> bytes:
+    """Places of a text's features that aren't 0, then these as half floats."""
+    at = np.flatnonzero(x)
+    return at.astype(np.uint16).tobytes() + x[at].astype(np.float16).tobytes()
+
+
+def unpack(packed: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(packed), DIMENSIONS + 1), np.float32)
+    for row, data in zip(out, packed, strict=True):
+        row[np.frombuffer(data[: len(data) // 2], np.uint16)] = np.frombuffer(data[len(data) // 2 :], np.float16)
+    return out
+
+
+@dataclass
+class Task:
+    """What machines are to learn: a row a machine, a column a class."""
+
+    signs: np.ndarray  # 1 or -1 for the classes of either side, else 0
+    costs: np.ndarray  # of a document's loss
+    apart: np.ndarray  # whether a machine leaves out documents that are kept for trying it
+
+    @classmethod
+    def of(cls, signs: np.ndarray, counts: np.ndarray, apart: bool = False) -> Task:
+        """From the number of documents a class; both sides of a machine weigh the same, however many documents they have."""
+        sides = [np.where(signs == side, STRENGTH / 2 / np.maximum((signs == side) @ counts, 1)[:, None], 0) for side in (1, -1)]
+        return cls(signs, sides[0] + sides[1], np.full(len(signs), apart))
+
+    def only(self, machines: list[int]) -> Task:
+        return Task(self.signs[machines], self.costs[machines], self.apart[machines])
+
+    def sums(self, weights: np.ndarray, x: np.ndarray, classes: np.ndarray, tried: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every machine's loss over documents, and its gradient."""
+        loss, gradient = np.zeros(len(weights)), np.zeros(weights.shape)
+        for k in np.unique(classes):
+            mine, rows = np.flatnonzero(self.signs[:, k]), classes == k
+            own, sign, cost = x[rows], self.signs[mine, k].astype(np.float32), self.costs[mine, k]
+            slack = np.maximum(1 - sign * (own @ weights[mine].T), 0)
+            slack[np.ix_(tried[rows], self.apart[mine])] = 0
+            loss[mine] += cost * np.square(slack, dtype=np.float64).sum(0)
+            gradient[mine] -= (2 * cost * sign)[:, None] * (slack.T @ own)
+        return loss, gradient
+
+
+class Descent:
+    """Limited-memory BFGS with halved steps for one machine: wants the loss and gradient at `at`, until it is done."""
+
+    def __init__(self, memory: int = 6, tolerance: float = 1e-3) -> None:
+        self.at = self.best = np.zeros(DIMENSIONS + 1, np.float32)
+        self.loss, self.gradient, self.first = np.inf, None, 0.0
+        self.direction, self.step, self.slope = None, 1.0, 0.0
+        self.past, self.tolerance, self.done = deque(maxlen=memory), tolerance, False
+
+    def tell(self, loss: float, gradient: np.ndarray) -> None:
+        """Documents' loss and gradient at `at`; the machine's length is added here."""
+        w = self.at.astype(np.float64)
+        loss, gradient = float(loss + w @ w / 2), gradient + w
+        if self.gradient is not None and loss > self.loss + 1e-4 * self.step * self.slope:
+            self.step /= 2
+            self.done = self.step < 1e-6  # as good as single floats can tell
+        else:
+            if self.gradient is None:
+                self.first = float(np.linalg.norm(gradient))
+            elif (moved := w - self.best) @ (turned := gradient - self.gradient) > 1e-12:
+                self.past.append((moved.astype(np.float32), turned.astype(np.float32)))
+            self.best, self.loss, self.gradient, self.step = self.at, loss, gradient, 1.0
+            self.done = float(np.linalg.norm(gradient)) <= self.tolerance * self.first
+            self.direction = -self._turn(gradient)
+            self.slope = float(self.direction @ gradient)
+        if not self.done:
+            self.at = (self.best + self.step * self.direction).astype(np.float32)
+
+    def _turn(self, gradient: np.ndarray) -> np.ndarray:
+        if not self.past:
+            return gradient / max(1.0, float(np.linalg.norm(gradient)))
+        out, shares = gradient.copy(), []
+        for moved, turned in reversed(self.past):
+            shares.append((moved @ out) / float(moved @ turned))
+            out -= shares[-1] * turned
+        moved, turned = self.past[-1]
+        out *= float(moved @ turned) / float(turned @ turned)
+        for (moved, turned), share in zip(self.past, reversed(shares), strict=True):
+            out += (share - (turned @ out) / float(moved @ turned)) * moved
+        return out
+
+
+def learn(task: Task, sums: Callable[[Task, np.ndarray], tuple[np.ndarray, np.ndarray]], passes: int = 200) -> np.ndarray:
+    """Weights of a task's machines, from losses and gradients over all documents, a pass over these a step.
+
+    A machine is done when its gradient is a thousandth of what it was at first, or when no step makes its loss less.
+    More than BLOCK machines learn in blocks, one after another.
+    """
+    if len(task.signs) > BLOCK:
+        return np.concatenate([learn(task.only(list(range(k, min(k + BLOCK, len(task.signs))))), sums, passes) for k in range(0, len(task.signs), BLOCK)])
+    machines = [Descent() for _ in task.signs]
+    for _ in range(passes):
+        going = [k for k, m in enumerate(machines) if not m.done]
+        if not going:
             break
-    return w
+        loss, gradient = sums(task.only(going), np.array([machines[k].at for k in going]))
+        for k, own_loss, own_gradient in zip(going, loss, gradient, strict=True):
+            machines[k].tell(own_loss, own_gradient)
+    return np.array([m.best for m in machines], np.float32).reshape(len(machines), DIMENSIONS + 1)
 
 
 @dataclass
@@ -90,10 +180,25 @@ class OneVersusOne:
     weights: np.ndarray  # a row for each pair
 
     @classmethod
-    def train(cls, samples: dict[str, np.ndarray]) -> OneVersusOne:
-        classes = sorted(samples)
+    def empty(cls, classes: list[str]) -> OneVersusOne:
+        """Machines that have yet to learn."""
         pairs = list(itertools.combinations(range(len(classes)), 2))
-        return cls(classes, pairs, np.array([train_svm(samples[classes[a]], samples[classes[b]]) for a, b in pairs], np.float32).reshape(len(pairs), DIMENSIONS + 1))
+        return cls(classes, pairs, np.zeros((len(pairs), DIMENSIONS + 1), np.float32))
+
+    def signs(self, of: list[str]) -> np.ndarray:
+        """A row a machine: 1 and -1 where a column, of the given class, is its first or second one."""
+        place = np.array([self.classes.index(c) if c in self.classes else -1 for c in of])
+        return np.array([(place == a).astype(np.int8) - (place == b) for a, b in self.pairs], np.int8).reshape(len(self.pairs), len(of))
+
+    @classmethod
+    def train(cls, samples: dict[str, np.ndarray]) -> OneVersusOne:
+        """From features by class, all at hand."""
+        out = cls.empty(sorted(samples))
+        x = np.concatenate([samples[c] for c in out.classes]).astype(np.float32, copy=False)
+        classes = np.repeat(np.arange(len(out.classes)), [len(samples[c]) for c in out.classes])
+        none = np.zeros(len(x), bool)
+        out.weights = learn(Task.of(out.signs(out.classes), np.bincount(classes)), lambda task, weights: task.sums(weights, x, classes, none))
+        return out
 
     def decide(self, x: np.ndarray) -> tuple[str, float]:
         """The class, and its margin against the nearest other class: negative where that one beats it, infinite if there is none."""
@@ -124,12 +229,21 @@ class Model:
     least_margin: float = -np.inf  # below it, a text is in no language that was learned
 
     @classmethod
-    def of(cls, samples: dict[str, np.ndarray]) -> Model:
-        """Machines of both levels, from features by language."""
-        families: dict[str, dict[str, np.ndarray]] = {}
-        for lang, x in samples.items():
-            families.setdefault(family_of(lang), {})[lang] = x
-        return cls(OneVersusOne.train({f: np.concatenate(list(x.values())) for f, x in families.items()}), {f: OneVersusOne.train(x) for f, x in families.items()})
+    def empty(cls, languages: list[str]) -> Model:
+        """Machines of both levels that have yet to learn."""
+        families: dict[str, list[str]] = {}
+        for lang in sorted(languages):
+            families.setdefault(family_of(lang), []).append(lang)
+        return cls(OneVersusOne.empty(sorted(families)), {f: OneVersusOne.empty(known) for f, known in families.items()})
+
+    def signs(self, languages: list[str]) -> np.ndarray:
+        """Those of all machines, in the order of put()."""
+        return np.concatenate([self.family.signs([family_of(lang) for lang in languages]), *(m.signs(languages) for m in self.within.values())])
+
+    def put(self, weights: np.ndarray) -> Model:
+        for machine in (self.family, *self.within.values()):
+            machine.weights, weights = weights[: len(machine.pairs)], weights[len(machine.pairs) :]
+        return self
 
     def margin(self, x: np.ndarray) -> float:
         """The lesser of the margins at both levels, of a text's features."""
@@ -150,19 +264,34 @@ class Model:
         return language, p * q
 
 
-def least_margin(samples: dict[str, np.ndarray]) -> float:
-    """LOOSENESS times the margin that all but one in a hundred documents have, of those kept from machines trained on the others.
+def least_margin(tried: DataFrame, n: int, model: Model) -> float:
+    """LOOSENESS times the margin that all but one in a hundred of n documents have, which the model's machines weren't trained on.
 
-    Every fourth document is kept from them. Minus infinity, so that nothing is rejected, if these are fewer than
-    LEAST_CALIBRATION, or if only one language is known, which leaves nothing to have a margin against.
+    Minus infinity, so that nothing is rejected, if there are fewer than LEAST_CALIBRATION. The margin is found among those of all
+    documents, as single floats: first the upper half of its bits, by counts of each, then the lower one among those that share it.
     """
-    apart = {lang: (x[np.arange(len(x)) % 4 != 3], x[3::4]) for lang, x in samples.items()}
-    if sum(len(tried) for _, tried in apart.values()) < LEAST_CALIBRATION:
+    if n < LEAST_CALIBRATION:
         return -np.inf
-    model = Model.of({lang: learned for lang, (learned, _) in apart.items()})
-    margins = sorted(model.margin(x.astype(np.float32)) for _, tried in apart.values() for x in tried)
-    found = margins[len(margins) // 100]
-    return float(min(found, found * LOOSENESS)) if np.isfinite(found) else -np.inf
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bits = np.array([model.margin(x) for x in unpack(batch.column("x").to_pylist())], np.float32).view(np.int32).astype(np.int64)
+        return pa.RecordBatch.from_pydict({"key": pa.array(np.where(bits < 0, -(bits & 0x7FFFFFFF), bits))})  # in the order of the floats
+
+    keys = map_arrow(tried, run, "key long")
+    upper, place = _at_place(keys.select(F.shiftright("key", 16).alias("key")), n // 100)
+    lower, _ = _at_place(keys.where(F.shiftright("key", 16) == upper).select(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key")), place)
+    key = (upper << 16) + lower
+    found = float(np.uint32(-key | 0x80000000 if key < 0 else key).view(np.float32))
+    return min(found, found * LOOSENESS) if np.isfinite(found) else -np.inf
+
+
+def _at_place(keys: DataFrame, place: int) -> tuple[int, int]:
+    """The key at a place (from 0) in their order, and the place among its equals; there are at most 65,536 different keys."""
+    for key, n in sorted((r.key, r.n) for r in keys.groupBy("key").agg(F.count("*").alias("n")).collect()):
+        if place < n:
+            return key, place
+        place -= n
+    raise ValueError("fewer keys than places")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -170,17 +299,24 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, max_languages: int = MAX_LANGUAGES) -> DataFrame | None:
-    """lang, draw and x, features as half floats, of at most per_language documents a language; None if nothing is labelled.
+def labelled_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> tuple[DataFrame, dict[str, int]]:
+    """doc_id, text and lang of the documents to learn from, and how many there are of each language that is learned.
 
     Of more than max_languages values of lang the most frequent are learned, equal ones in their order; the others' documents
     teach nothing and are predicted as one of those learned.
-
-    Documents are drawn by a hash of id and text, so that rows without an id, or with a common one, are drawn like others.
-    The executors cut to per_language, after rows that repeat another are left out.
     """
     labelled = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"), held_out(id_col).alias("held_out")).where(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    return labelled, {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+
+
+def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, max_languages: int = MAX_LANGUAGES) -> DataFrame | None:
+    """lang, draw and x, features as half floats, of at most per_language documents a language; None if nothing is labelled.
+
+    For a look at part of a table: train() takes all of it, unless it is given a per_language. Documents are drawn by a hash of
+    id and text, so that rows without an id, or with a common one, are drawn like others. The executors cut to per_language,
+    after rows that repeat another are left out.
+    """
+    labelled, counts = labelled_documents(docs, id_col, text_col, lang_col, max_languages)
     if not counts:
         return None
     out_of = 1 << 30
@@ -197,25 +333,96 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return map_arrow(sample, run, "lang string, draw long, x binary").distinct().withColumn("place", place).where(F.col("place") <= per_language).drop("place")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 500, max_languages: int = MAX_LANGUAGES) -> Model:
-    """Learn from text and lang of the documents that aren't held out.
+def training_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_languages: int = MAX_LANGUAGES) -> DataFrame | None:
+    """lang, tried and x, packed features, of all documents to learn from, repeated ones as often as they are; None if nothing is labelled.
 
-    Of each of max_languages languages about per_language documents, and no more, are drawn by training_sample(): the
-    bounds on training. Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`.
-    The model's least_margin is fitted on the same sample.
+    Tried are a quarter of the different texts, by their hash; texts without a letter are left out.
     """
-    drawn = training_sample(docs, id_col, text_col, lang_col, per_language, max_languages)
-    if drawn is None:
-        return Model(None, {})
-    rows = sorted(drawn.collect(), key=lambda r: (r.lang, r.draw, bytes(r.x)))
-    # Half floats, of which two classes at a time are made single ones.
-    samples = {lang: np.array([np.frombuffer(r.x, np.float16) for r in group]) for lang, group in itertools.groupby(rows, key=lambda r: r.lang)}
-    del rows
-    if not samples:
+    labelled, counts = labelled_documents(docs, id_col, text_col, lang_col, max_languages)
+    if not counts:
+        return None
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column("text").to_pylist()
+        keep = [k for k, t in enumerate(texts) if has_letter(t)]
+        own = batch.select(["lang", "tried"]).take(pa.array(keep, pa.int64()))
+        return pa.RecordBatch.from_arrays([*own.columns, pa.array([pack(features(texts[k])) for k in keep], pa.binary())], ["lang", "tried", "x"])
+
+    return map_arrow(labelled.where(F.col("lang").isin(sorted(counts))).select("lang", _quarter("text").alias("tried"), "text"), run, "lang string, tried boolean, x binary")
+
+
+def _quarter(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(4)) == 3
+
+
+def distributed_sums(rows: DataFrame, languages: list[str], task: Task, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Task.sums() over all rows of training_features(), a task a core; their sums meet by machine."""
+    bound_batches(rows.sparkSession)
+    place = {lang: k for k, lang in enumerate(languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, gradient = np.zeros(len(weights)), np.zeros(weights.shape)
+        for batch in batches:
+            if batch.num_rows:
+                lang, tried, packed = map(pa.Array.to_pylist, batch.columns)
+                more = task.sums(weights, unpack(packed), np.array([place[v] for v in lang]), np.array(tried))
+                loss, gradient = loss + more[0], gradient + more[1]
+        part = TaskContext.get().partitionId()
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(weights)), pa.int32()), pa.array([part] * len(weights), pa.int32()), pa.array(loss), pa.array([g.astype(np.float32).tobytes() for g in gradient], pa.binary())], ["machine", "part", "loss", "gradient"])
+        give_back()
+
+    def add(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")  # so that a run repeated gives the same sum
+        total = np.sum([np.frombuffer(g, np.float32) for g in group.column("gradient").to_pylist()], axis=0, dtype=np.float64)
+        return pa.table({"machine": group.column("machine")[:1], "loss": pa.array([float(np.sum(group.column("loss").to_numpy()))]), "gradient": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    parts = rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "machine int, part int, loss double, gradient binary")
+    found = sorted(parts.groupBy("machine").applyInArrow(add, "machine int, loss double, gradient binary").collect(), key=lambda r: r.machine)
+    return np.array([r.loss for r in found]), np.array([np.frombuffer(r.gradient, np.float32) for r in found])
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int | None = None, max_languages: int = MAX_LANGUAGES) -> Model:
+    """Learn from text and lang of all documents that aren't held out, of each of max_languages languages.
+
+    Texts without a letter and null languages teach nothing. An empty table gives a model that answers `und`. The model's
+    least_margin is fitted on a quarter of the different texts, all of them, with machines that learn from the other texts only.
+    Where all of a language's texts are in that quarter, these machines learn from them. With per_language, all this is done
+    on a training_sample() of that many documents a language.
+    """
+    if per_language is None:
+        rows = training_features(docs, id_col, text_col, lang_col, max_languages)
+    elif (rows := training_sample(docs, id_col, text_col, lang_col, per_language, max_languages)) is not None:
+        packed = lambda batch: pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("tried"), pa.array([pack(np.frombuffer(x, np.float16)) for x in batch.column("x").to_pylist()], pa.binary())], ["lang", "tried", "x"])
+        rows = map_arrow(rows.select("lang", _quarter("x").alias("tried"), "x"), packed, "lang string, tried boolean, x binary")
+    if rows is None:
         return Model(None, {})
-    model = Model.of(samples)
-    model.least_margin = least_margin(samples)
-    return model
+    kept = rows.persist(StorageLevel.DISK_ONLY)
+    try:
+        counts = {(r.lang, r.tried): r.n for r in kept.groupBy("lang", "tried").agg(F.count("*").alias("n")).collect()}
+        if not counts:
+            return Model(None, {})
+        languages = sorted({lang for lang, _ in counts})
+        split = [lang for lang in languages if (lang, False) in counts]
+        n_tried = sum(counts.get((lang, True), 0) for lang in split)
+        every = np.array([counts.get((lang, False), 0) + counts.get((lang, True), 0) for lang in languages])
+        learned = np.array([counts.get((lang, False), 0) or counts[lang, True] for lang in languages])
+        model = Model.empty(languages)
+        task = Task.of(model.signs(languages), every)
+        if not len(task.signs):
+            return model
+        used = kept.withColumn("tried", F.col("tried") & F.col("lang").isin(split))
+        calibrated = n_tried >= LEAST_CALIBRATION
+        if calibrated:
+            more = Task.of(task.signs, learned, apart=True)
+            task = Task(*(np.concatenate(x) for x in ((task.signs, more.signs), (task.costs, more.costs), (task.apart, more.apart))))
+        weights = learn(task, lambda own, at: distributed_sums(used, languages, own, at))
+        if calibrated:
+            half = len(weights) // 2
+            model.least_margin = least_margin(used.where("tried").select("x"), n_tried, Model.empty(languages).put(weights[half:]))
+            weights = weights[:half]
+        return model.put(weights)
+    finally:
+        kept.unpersist()
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

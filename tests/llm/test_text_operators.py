@@ -332,6 +332,90 @@ def test_texts_in_no_learned_language_go(docs, rows):
     assert len(rows(language_id.keep_identified(df, model, min_margin=-np.inf))) == len(table) + len(strange)
 
 
+def language_features(table):
+    """By language, the features of all rows that teach, as stored, and which of their texts are kept for trying."""
+    out = collections.defaultdict(lambda: ([], []))
+    for k, text, lang, _ in table:
+        if zlib.crc32(str(k).encode()) % 3 != 1:
+            out[lang][0].append(language_id.unpack([language_id.pack(language_id.features(text))])[0])
+            out[lang][1].append(xxhash.xxh64(text, seed=42).intdigest() % 4 == 3)
+    return {lang: (np.array(x), np.array(tried)) for lang, (x, tried) in sorted(out.items())}
+
+
+def plain_loss(w, positive, negative):
+    """A machine's squared length, half of it, and its squared hinge losses, a mean a side; and the gradient."""
+    loss, gradient = w @ w / 2, w.astype(np.float64)
+    for x, sign in ((positive, 1), (negative, -1)):
+        slack = np.maximum(1 - sign * (x.astype(np.float64) @ w), 0)
+        loss, gradient = loss + language_id.STRENGTH / 2 * np.mean(slack**2), gradient - language_id.STRENGTH * sign * (slack @ x) / len(x)
+    return loss, gradient
+
+
+def test_language_id_learns_from_every_document(docs):
+    """Machines are at the least loss over all documents, of which a language has over 500, and the margin is one of all tried ones."""
+    table = language_rows(3600)
+    model = language_id.train(docs(table).repartition(5))
+    known = language_features(table)
+    assert min(len(x) for x, _ in known.values()) > 500
+    families = {f: np.concatenate([x for lang, (x, _) in known.items() if language_id.family_of(lang) == f]) for f in model.within}
+    for machine, samples in ((model.family, families), *((m, {lang: known[lang][0] for lang in m.classes}) for m in model.within.values())):
+        for (a, b), w in zip(machine.pairs, machine.weights, strict=True):
+            sides = samples[machine.classes[a]], samples[machine.classes[b]]
+            at_first, found = plain_loss(np.zeros_like(w), *sides)[1], plain_loss(w, *sides)[1]
+            assert np.linalg.norm(found) <= 1.1e-3 * np.linalg.norm(at_first)
+    apart = language_id.train(docs([r for r in table if xxhash.xxh64(r[1], seed=42).intdigest() % 4 != 3]))
+    margins = sorted(apart.margin(x) for x_all, tried in known.values() for x in x_all[tried])
+    assert len(margins) > 500 and model.least_margin == pytest.approx(margins[len(margins) // 100] * language_id.LOOSENESS, rel=0.02)
+
+
+def test_sums_over_tables(docs):
+    """Losses and gradients over a table are those of its rows, whatever its partitions; documents kept apart count for half of the machines."""
+    table = language_rows(700)
+    rows_ = language_id.training_features(docs(table).repartition(7))
+    known = language_features(table)
+    languages = list(known)
+    signs = language_id.Model.empty(languages).signs(languages)
+    tasks = [language_id.Task.of(signs, np.array([len(x) for x, _ in known.values()])), language_id.Task.of(signs, np.array([(~t).sum() for _, t in known.values()]), apart=True)]
+    task = language_id.Task(*(np.concatenate([getattr(t, c) for t in tasks]) for c in ("signs", "costs", "apart")))
+    weights = np.random.default_rng(1).normal(0, 1, (len(task.signs), language_id.DIMENSIONS + 1)).astype(np.float32)
+    loss, gradient = language_id.distributed_sums(rows_, languages, task, weights)
+    for k, w in enumerate(weights):
+        kept = [x[~tried] if k >= len(signs) else x for x, tried in known.values()]
+        sides = [np.concatenate([x for x, s in zip(kept, task.signs[k], strict=True) if s == side]) for side in (1, -1)]
+        wanted = plain_loss(w, *sides)
+        assert loss[k] + w @ w / 2 == pytest.approx(wanted[0], rel=1e-4) and np.allclose(gradient[k] + w, wanted[1], rtol=1e-3, atol=1e-2)
+
+
+def test_machines_learn_in_blocks(monkeypatch):
+    """With many machines the driver holds a block's state at a time; weights are the same."""
+    rng = np.random.default_rng(4)
+    samples = {c: np.abs(rng.normal(0, 0.01, (20, language_id.DIMENSIONS + 1))).astype(np.float32) + np.eye(language_id.DIMENSIONS + 1, dtype=np.float32)[k] for k, c in enumerate("abcde")}
+    whole, most = language_id.OneVersusOne.train(samples), []
+    only = language_id.Task.only
+    monkeypatch.setattr(language_id, "BLOCK", 3)
+    monkeypatch.setattr(language_id.Task, "only", lambda task, machines: most.append(len(machines)) or only(task, machines))
+    assert np.allclose(language_id.OneVersusOne.train(samples).weights, whole.weights, atol=1e-3) and len(whole.pairs) == 10 and max(most) == 3
+
+
+def test_least_margin_is_exact(spark):
+    """The margin at a hundredth of all, in their order as floats, negative ones among them."""
+    rng = np.random.default_rng(3)
+    weights = np.zeros((1, language_id.DIMENSIONS + 1), np.float32)
+    weights[0, :2] = 1, -1
+    model = language_id.Model(language_id.OneVersusOne(["germanic", "romance"], [(0, 1)], weights), {f: language_id.OneVersusOne([lang], [], weights[:0]) for f, lang in (("germanic", "en"), ("romance", "fr"))})
+    for n, low in ((3000, 0.2), (3000, 0.0), (150, 0.5), (25, 0.1)):
+        x = np.zeros((n, language_id.DIMENSIONS + 1), np.float32)
+        x[:, 0] = rng.uniform(low, 1, n)
+        table = spark.createDataFrame([(language_id.pack(v),) for v in x], "x binary").repartition(3)
+        found = sorted(x[:, 0].astype(np.float16).astype(float))[n // 100]
+        assert language_id.least_margin(table, n, model) == found * language_id.LOOSENESS
+    model.margin = lambda x: float(x[0] - x[1])
+    x[:, 1] = 0.75
+    found = sorted((x[:, 0].astype(np.float16).astype(np.float32) - np.float32(0.75)).tolist())[n // 100]
+    assert found < 0 and language_id.least_margin(spark.createDataFrame([(language_id.pack(v),) for v in x], "x binary"), n, model) == found
+    assert language_id.least_margin(table, 24, model) == -np.inf
+
+
 def test_one_versus_one():
     rng = np.random.default_rng(0)
     make = lambda k: np.concatenate([np.eye(language_id.DIMENSIONS + 1, dtype=np.float32)[[k]] + rng.normal(0, 0.05, (1, language_id.DIMENSIONS + 1)).astype(np.float32) * 0.1 for _ in range(30)])
